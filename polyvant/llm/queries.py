@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, rules, secrets, simhash
+from . import hmm, packing, rules, secrets, simhash, tokenpack, toxicity, weaklabel
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weaklabel.classify(_table(spark, sf_dir, "documents"))
+
+
+def op4_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(_table(spark, sf_dir, "documents")))
 
@@ -33,6 +41,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("rule"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op5_secret_scan, op6_simhash_anchors, op7_quality_rules)}
+def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenpack.digest(tokenpack.pack_ids(_table(spark, sf_dir, "documents")))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op3_weak_label_quality, op4_hmm_scoring, op5_secret_scan, op6_simhash_anchors, op7_quality_rules, op8_token_packing, op9_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {}

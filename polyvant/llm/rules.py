@@ -122,23 +122,28 @@ def learn(stats: DataFrame, label_col: str, id_col: str = "doc_id", features: tu
         b = F.array_size(F.filter(F.array(*(F.lit(float(x)) for x in steps[f])), lambda x: x < here)) if steps[f] else F.lit(0)  # noqa: B023
         binned = binned.withColumn(f"_b_{f}", b)
     binned = cut(binned, "binned")
-    pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("f"), F.col(f"_b_{f}").alias("b")) for f in features))).alias("x")
+    pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("f"), F.col(f"_b_{f}").alias("b"), F.col(f).alias("v")) for f in features))).alias("x")
     found: list[Rule] = []
     while len(found) < max_rules:
         left = binned.where(Rules(tuple(found)).kept())
         grow, conditions = left.where("not prune"), []
         while len(conditions) < max_conditions:
             inside = grow.where(Rule(tuple(conditions), 0, 0).column()).select("bad", pairs)
-            table = {(r["f"], r["b"]): (r["p"], r["n"]) for r in inside.groupBy("x.f", "x.b").agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n")).collect()}  # features x bins
+            seen = inside.groupBy("x.f", "x.b").agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi")).collect()  # features x bins
+            table = {(r["f"], r["b"]): (r["p"], r["n"]) for r in seen}
+            ends = {(r["f"], r["b"]): (r["lo"], r["hi"]) for r in seen}
             p0, n0 = (sum(table.get((features[0], b), (0, 0))[k] for b in range(bins + 1)) for k in (0, 1))
             best = (1e-9, None)
             if p0 and n0:
                 for f in features:
                     p = n = 0
-                    for b, x in enumerate(steps[f]):
+                    for b in range(len(steps[f])):
                         dp, dn = table.get((f, b), (0, 0))
                         p, n = p + dp, n + dn
-                        best = max(best, (_gain(p0, n0, p, n), (f, "<=", x)), (_gain(p0, n0, p0 - p, n0 - n), (f, ">", x)), key=lambda g: g[0])
+                        above = [ends[f, c][0] for c in range(b + 1, len(steps[f]) + 1) if (f, c) in ends]
+                        if (f, b) in ends and above:  # the middle of the gap between the bins: the widest margin
+                            x = (ends[f, b][1] + above[0]) / 2
+                            best = max(best, (_gain(p0, n0, p, n), (f, "<=", x)), (_gain(p0, n0, p0 - p, n0 - n), (f, ">", x)), key=lambda g: g[0])
             if best[1] is None:
                 break
             conditions.append(best[1])
