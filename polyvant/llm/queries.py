@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hmm, packing, rules, secrets, simhash, tokenpack, toxicity, weaklabel
+from . import decontaminate, hmm, packing, rules, secrets, simhash, suffixes, tokenpack, toxicity, weaklabel
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_latent_decontamination, op3_weak_label_quality, op4_hmm_scoring, op5_secret_scan, op6_simhash_anchors, op7_quality_rules, op8_token_packing, op9_toxicity)}
+def op10_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeats(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_latent_decontamination, op3_weak_label_quality, op4_hmm_scoring, op5_secret_scan, op6_simhash_anchors, op7_quality_rules, op8_token_packing, op9_toxicity, op10_sparse_suffixes)}
 
 ORACLE_SQL: dict[str, str] = {}
