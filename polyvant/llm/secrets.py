@@ -18,8 +18,17 @@ from .common import cut
 #: The base kinds, in the order in which equal starts are listed.
 BASE = {
     "assign": r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-    "access": r"AKIA[A-Z0-9]+",
-    "hex": r"[0-9a-f]+",
+    "access": r"AKIA[A-Z0-9]{12,}",  # a run of 16 or more: a shorter run holds no longer one
+    "hex": r"[0-9a-f]{32,}",
+}
+#: What a text must hold for a kind to be looked for; lower-cased where the kind takes either case.
+HINTS = {
+    "assign": "(contains(_lo, 'passw') or contains(_lo, 'secret') or contains(_lo, 'token') or contains(_lo, 'apikey') or contains(_lo, 'api_key'))",
+    "access": "contains(_t, 'AKIA')",
+    "hex": "_t rlike '[0-9a-f]{32}'",
+    "user": "(contains(_lo, 'user') or contains(_lo, 'login') or contains(_lo, 'account') or contains(_lo, 'client') or contains(_lo, 'access'))",
+    "value": "size(_user) + size(_access) > 0",
+    "endpoint": "size(_user) + size(_access) > 0 and size(_assign) + size(_hex) + size(_value) > 0",
 }
 #: Parts that say nothing alone. user: a named account; value: a random-looking run; endpoint: a URL or host.
 PARTS = {
@@ -35,12 +44,12 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _places(text: str, pattern: str, accept: str) -> str:
+def _places(text: str, pattern: str, accept: str, hint: str) -> str:
     """SQL for the spans of ``pattern`` in the column ``text``: an array of (s, e, k). Lengths are added up in
     blocks of 256, so that a text with n matches takes about 128 n steps, not n squared."""
     p = _quoted(pattern)
     return f"""
-      if({text} rlike {p},
+      if({hint} and {text} rlike {p},
       transform(array(named_struct('m', regexp_extract_all({text}, {p}, 0), 'g', split({text}, {p}))), z ->
         transform(array(transform(z.m, (x, i) -> cast(length(x) as bigint) + length(z.g[i]))), step ->
           transform(array(transform(sequence(0, size(step) div 256), b -> aggregate(slice(step, b * 256 + 1, 256), 0L, (a, x) -> a + x))), sums ->
@@ -55,11 +64,9 @@ def _spans(text: str, name: str) -> Column:
     pattern = (BASE | PARTS)[name]
     accept = {
         "assign": f"length(regexp_extract(x, {_quoted(pattern)}, 2)) >= 8",
-        "access": "length(x) >= 16",
-        "hex": "length(x) >= 32",
         "value": "x rlike '[A-Z]' and x rlike '[a-z]' and x rlike '[0-9]'",
     }.get(name, "true")
-    sql = _places(text, pattern, accept)
+    sql = _places(text, pattern, accept, HINTS[name])
     return F.expr(f"transform({sql}, x -> named_struct('s', x.e - x.n, 'e', x.e, 'k', {ORDER.index(name)}))").cast(_SPAN)
 
 
@@ -72,7 +79,10 @@ def _listed(spans: str) -> Column:
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, _h (hash of the text), base and weak spans of each row: one pass, no shuffle."""
     d = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_t"))
-    d = d.select("doc_id", F.xxhash64("_t").alias("_h"), *(_spans("_t", k).alias(f"_{k}") for k in ORDER))
+    d = d.withColumn("_lo", F.lower("_t"))
+    for k in (*BASE, *PARTS):  # a part whose complement is absent is not looked for
+        d = d.withColumn(f"_{k}", _spans("_t", k))
+    d = d.withColumn("_h", F.xxhash64("_t")).drop("_t", "_lo")
     base = F.concat(*(F.col(f"_{k}") for k in BASE))
     return d.select("doc_id", "_h", *(F.size(f"_{k}").cast("bigint").alias(f"n_{k}") for k in BASE), base.alias("base"), F.concat(*(F.col(f"_{k}") for k in PARTS)).alias("weak"))
 
