@@ -77,7 +77,11 @@ def env_l1(groups: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def env_l1_verdict(groups: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row: distinct labels, offenders, top-5 and top-10 shares, status."""
-    d = env_l1(groups, limits).agg(
+    return _l1_verdict(env_l1(groups, limits), limits)
+
+
+def _l1_verdict(judged: DataFrame, limits: Limits) -> DataFrame:
+    d = judged.agg(
         F.count(F.lit(1)).alias("distinct_labels"), F.count_if("over_cap").alias("offenders"), F.coalesce(F.sum("us"), F.lit(0)).alias("total_us"),
         F.coalesce(F.sum(F.when(F.col("rank") <= 5, F.col("us"))), F.lit(0)).alias("top5_us"), F.coalesce(F.sum(F.when(F.col("rank") <= 10, F.col("us"))), F.lit(0)).alias("top10_us"),
     )
@@ -162,3 +166,39 @@ def interaction(t: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def duration_sources(rows: DataFrame) -> DataFrame:
     return rows.groupBy("duration_source").agg(F.count(F.lit(1)).alias("episodes"), F.sum("duration_us").alias("us"))
+
+
+def judged_grains(rows: DataFrame, total: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> dict[str, DataFrame]:
+    """The judged groups of every grouped check, all from one grouping pass that Spark shares."""
+    grains = all_grains(rows)
+    of = lambda g: grains.where(F.col("grain") == g).select(*GRAINS[g], "us", "episodes", "bits", "factory", "first_ord")
+    return {
+        "c1": env_l1(of("c1"), limits), "c3": task_share(of("c3"), total, limits), "c4": task_env(of("c4"), limits, dynamic),
+        "c5": op_task_env(of("c5"), limits), "c6": env_op(of("c6"), limits), "c7": business(of("c7"), limits),
+    }
+
+
+def verdicts(rows: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> DataFrame:
+    """(check, status, groups, offenders, conflicts): nine rows. Ungrouped checks have no groups."""
+    t = totals(rows)
+    judged = judged_grains(rows, t, limits, dynamic)
+    out = []
+    for name, d in judged.items():
+        conflicts = F.count_if("conflict") if "conflict" in d.columns else F.lit(0).cast("bigint")
+        if name == "c1":
+            v = _l1_verdict(d, limits).select(F.lit("c1").alias("check"), "status", F.col("distinct_labels").alias("groups"), "offenders", F.lit(0).cast("bigint").alias("conflicts"))
+        else:
+            v = d.agg(F.count(F.lit(1)).alias("groups"), F.count_if("over_cap").alias("offenders"), conflicts.alias("conflicts"))
+            nothing = F.col("groups") == 0
+            if name == "c7":  # present at all, even where no group is complete
+                v = v.crossJoin(t.select("with_size"))  # one row each
+                nothing = F.col("with_size") == 0
+            v = v.select(F.lit(name).alias("check"), F.when(nothing, "NOT_COMPUTABLE").when(F.col("offenders") > 0, "FAIL").otherwise("PASS").alias("status"), "groups", "offenders", "conflicts")
+        out.append(v)
+    none = [F.lit(0).cast("bigint").alias(k) for k in ("groups", "offenders", "conflicts")]
+    for name, d in (("c2", difficulty_mix(t, limits)), ("c8", workforce(t, limits)), ("c9", interaction(t, limits))):
+        out.append(d.select(F.lit(name).alias("check"), "status", *none))
+    d = out[0]
+    for x in out[1:]:
+        d = d.union(x)
+    return d

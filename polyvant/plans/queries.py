@@ -113,11 +113,11 @@ def c4_task_env(spark, sf_dir):
 
 def _plants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bridge with some sites named as plants."""
-    names = bridge.labels(spark, sf_dir).withColumn("environment_l1", F.when(F.col("environment_id").isin("GERMANY", "CHINA", "N1", "NATION_1", "NATION_2"), F.concat(F.lit("Light INDUSTRIAL "), "environment_id")).otherwise(F.col("environment_id")))
+    names = bridge.labels(spark, sf_dir).withColumn("environment_l1", F.when(F.col("environment_id").isin("NATION_1", "NATION_2"), F.concat(F.lit("Light INDUSTRIAL "), "environment_id")).otherwise(F.col("environment_id")))
     return rows_op.rows_of(names)
 
 
-PLANT_L1 = "CASE WHEN environment_id IN ('GERMANY', 'CHINA', 'N1', 'NATION_1', 'NATION_2') THEN concat('Light INDUSTRIAL ', environment_id) ELSE environment_id END"
+PLANT_L1 = "CASE WHEN environment_id IN ('NATION_1', 'NATION_2') THEN concat('Light INDUSTRIAL ', environment_id) ELSE environment_id END"
 
 
 @query(_c4_sql(L.factory_dynamic_h, PLANT_L1))
@@ -159,9 +159,6 @@ def summary(spark, sf_dir):
     return checks.totals(bridge.rows(spark, sf_dir))
 
 
-_STATUS = [("c1", "environment_l1"), ("c3", "task_id"), ("c4", "task_id, environment_id"), ("c5", "operator_id, task_id, environment_id"), ("c6", "environment_id, operator_id"), ("c7", "environment_id, business_size")]
-
-
 @query(f""", g AS (SELECT environment_l1, task_id, operator_id, environment_id, business_size, grouping(environment_l1, task_id, operator_id, environment_id, business_size) AS gid, {SUM_US} AS us, count(*) AS episodes
   FROM ep GROUP BY GROUPING SETS ((environment_l1), (task_id), (task_id, environment_id), (operator_id, task_id, environment_id), (environment_id, operator_id), (environment_id, business_size)))
 SELECT CASE gid WHEN 15 THEN 'c1' WHEN 23 THEN 'c3' WHEN 21 THEN 'c4' WHEN 17 THEN 'c5' WHEN 25 THEN 'c6' WHEN 28 THEN 'c7' END AS grain, count(*) AS groups, CAST(sum(us) AS BIGINT) AS us, max(us) AS max_us, CAST(sum(episodes) AS BIGINT) AS episodes
@@ -172,6 +169,26 @@ def multi_grain(spark, sf_dir):
     return d.groupBy("grain").agg(F.count(F.lit(1)).alias("groups"), F.sum("us").alias("us"), F.max("us").alias("max_us"), F.sum("episodes").alias("episodes"))
 
 
+@query(C1 + f""", v AS (SELECT count(*) AS d, count(*) FILTER (WHERE CAST(printf('%.2f', pct) AS DOUBLE) > 20e0) AS o, 100e0 * CAST(sum(us) FILTER (WHERE rank <= 5) AS BIGINT) / CAST(sum(us) AS BIGINT) AS p5, 100e0 * CAST(sum(us) FILTER (WHERE rank <= 10) AS BIGINT) / CAST(sum(us) AS BIGINT) AS p10 FROM r)""" + TOTALS + f""",
+g3 AS (SELECT {SUM_US} AS us, {LEVEL} AS level, count(DISTINCT difficulty) > 1 AS mixed FROM ep GROUP BY task_id),
+g4 AS (SELECT {SUM_US} AS us, {LEVEL} AS level, count(DISTINCT difficulty) > 1 AS mixed, bool_or(regexp_matches(lower(environment_l1), 'factory|manufactur|industrial')) AS plant FROM ep GROUP BY task_id, environment_id),
+g5 AS (SELECT {SUM_US} AS us, {LEVEL} AS level, count(DISTINCT difficulty) > 1 AS mixed FROM ep GROUP BY operator_id, task_id, environment_id),
+g6 AS (SELECT {SUM_US} AS us FROM ep GROUP BY environment_id, operator_id), g7 AS (SELECT {SUM_US} AS us, business_size FROM ep WHERE business_size IS NOT NULL GROUP BY environment_id, business_size),
+c AS (SELECT 'c3' AS "check", count(*) AS groups, count(*) FILTER (WHERE us > 720000000000 OR 100e0 * us / (SELECT total_us FROM t) > CASE level WHEN 'hard' THEN 6e0 WHEN 'medium' THEN 4e0 WHEN 'easy' THEN 1.5e0 END) AS offenders, count(*) FILTER (WHERE mixed) AS conflicts FROM g3
+  UNION ALL SELECT 'c4', count(*), count(*) FILTER (WHERE us > CASE WHEN plant THEN {HOUR_US} ELSE {_cap_sql('level', L.task_env_max_h)} END), count(*) FILTER (WHERE mixed AND NOT plant) FROM g4
+  UNION ALL SELECT 'c5', count(*), count(*) FILTER (WHERE us > {_cap_sql('level', L.op_task_env_max_h)}), count(*) FILTER (WHERE mixed) FROM g5
+  UNION ALL SELECT 'c6', count(*), count(*) FILTER (WHERE us > {40 * HOUR_US}), 0 FROM g6
+  UNION ALL SELECT 'c7', count(*), count(*) FILTER (WHERE us > {_cap_sql('business_size', L.business_max_h)}), 0 FROM g7)
+SELECT "check", CASE WHEN offenders > 0 THEN 'FAIL' ELSE 'PASS' END AS status, groups, offenders, conflicts FROM c
+UNION ALL SELECT 'c1', CASE WHEN o > 0 OR p5 > 60 OR p10 > 85 OR d < 15 THEN 'FAIL' ELSE 'PASS' END, d, o, 0 FROM v
+UNION ALL SELECT 'c2', CASE WHEN 100e0 * easy_us / (easy_us + medium_us + hard_us) > 30 OR 100e0 * hard_us / (easy_us + medium_us + hard_us) < 5 THEN 'FAIL' WHEN unknown_us > 0 THEN 'WARN' ELSE 'PASS' END, 0, 0, 0 FROM t
+UNION ALL SELECT 'c8', CASE WHEN 100e0 * real_us / (real_us + contractor_us) < 70 OR 100e0 * contractor_us / (real_us + contractor_us) > 30 THEN 'FAIL' ELSE 'PASS' END, 0, 0, 0 FROM t
+UNION ALL SELECT 'c9', CASE WHEN 100e0 * interactive / episodes >= 5 THEN 'PASS' ELSE 'WARN' END, 0, 0, 0 FROM t""")
+def nine_checks(spark, sf_dir):
+    """The verdict of every check, with its groups, offenders and groups of mixed difficulty."""
+    return checks.verdicts(bridge.rows(spark, sf_dir))
+
+
 # ---- durations
 
 @query("SELECT duration_source, count(*) AS episodes, CAST(sum(us) AS BIGINT) AS us FROM ep GROUP BY 1")
@@ -238,11 +255,11 @@ def _coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bridge with environment ids from the vocabulary, and some beyond it: by the length and first letter of
     the site's name, so that some ids are shared and some are never used."""
     code = F.element_at(F.array(*(F.lit(c) for c in CODES)), ((F.length("environment_id") * 3 + F.ascii(F.substring("environment_id", 1, 1))) % 19 + 1).cast("int"))
-    names = bridge.labels(spark, sf_dir).withColumn("environment_id", F.when(F.length("environment_id") % 5 == 0, F.concat(F.lit("X"), F.substring("environment_id", 1, 2))).otherwise(code))
+    names = bridge.labels(spark, sf_dir).withColumn("environment_id", F.when(F.length("environment_id") % 9 == 0, F.concat(F.lit("X"), F.substring("environment_id", 1, 2))).otherwise(code))
     return rows_op.rows_of(names)
 
 
-_CODED_SQL = f""", co AS (SELECT units, us, CASE WHEN length(environment_id) % 5 = 0 THEN concat('X', substring(environment_id, 1, 2)) ELSE list_extract([{", ".join(f"'{c}'" for c in CODES)}], (length(environment_id) * 3 + ascii(substring(environment_id, 1, 1))) % 19 + 1) END AS code FROM ep),
+_CODED_SQL = f""", co AS (SELECT units, us, CASE WHEN length(environment_id) % 9 = 0 THEN concat('X', substring(environment_id, 1, 2)) ELSE list_extract([{", ".join(f"'{c}'" for c in CODES)}], (length(environment_id) * 3 + ascii(substring(environment_id, 1, 1))) % 19 + 1) END AS code FROM ep),
 voc AS ({" UNION ALL ".join(f"SELECT '{c}' AS code, '{n}' AS name, {i} AS place" for i, (c, n) in enumerate(ENVIRONMENT_NAMES.items()))}), used AS (SELECT code, CAST(sum(units) AS BIGINT) AS units FROM co GROUP BY 1)"""
 
 
