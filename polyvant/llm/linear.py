@@ -109,6 +109,8 @@ def fit(y: np.ndarray, f: list[list[int]], n: int, g: list[list[int]] | None = N
     if not len(y):
         return np.zeros(n), 0.0
     r, c = _sparse(f)
+    if not len(c):
+        return np.zeros(n), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
     w, b = np.zeros(n), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
     pairs = [(i, x) for i, x in enumerate(g or []) if x is not None]
     k = np.array([i for i, _ in pairs], dtype=np.int64)
