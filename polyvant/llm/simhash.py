@@ -18,9 +18,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import similar
 from .common import cut, lower_words
 from .components import connected_components
 
@@ -97,20 +98,27 @@ def covering_anchors(fp: np.ndarray, threshold: int = 2) -> tuple[np.ndarray, np
     return np.concatenate(who), np.concatenate(where)
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """Signed 64-bit SimHash of a text's word shingles; 0 for a text without words."""
+def shingle_hashes(text: str | None, shingle: int = 3) -> np.ndarray:
+    """Hashes (uint64) of a text's word shingles, repeats included: of all its words if they are fewer."""
     import xxhash
 
     w = lower_words(text)
-    if not w:
-        return 0
     h = xxhash.xxh64_intdigest
-    grams = [h(b" ".join(g), 42) for g in zip(*(w[i:] for i in range(shingle)))] if len(w) >= shingle else [h(b" ".join(w), 42)]
+    if len(w) >= shingle:
+        return np.array([h(b" ".join(g), 42) for g in zip(*(w[i:] for i in range(shingle)))], dtype="<u8")
+    return np.array([h(b" ".join(w), 42)] if w else [], dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash: the bits set in over half the hashes; 0 for none."""
     bits = np.zeros(64, dtype=np.int64)
-    a = np.array(grams, dtype="<u8")
-    for i in range(0, len(a), 65536):
-        bits += np.unpackbits(a[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(bits * 2 > len(a), bitorder="little").view("<i8")[0])
+    for i in range(0, len(hashes), 65536):
+        bits += np.unpackbits(hashes[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(bits * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    return majority(shingle_hashes(text, shingle))
 
 
 def with_fingerprint(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, shingle: int = 3) -> DataFrame:
@@ -170,17 +178,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(comp, "_fp").select(F.col(f"`{id_col}`"), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 2, shingle: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: the smallest id, nulls last, then the smallest text hash; of
-    rows that are equal in both, any one."""
-    rows = cut(with_fingerprint(docs.withColumn("_h", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))), text_col, [id_col, "_h"], shingle), "rows")
-    comp = components(rows, id_col, threshold)
-    rank = F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("i"), F.col("_h").alias("h"))
-    best = rows.join(comp, "_fp").groupBy("root").agg(F.min(rank).alias("b")).select(F.col("b.i").alias("_i"), F.col("b.h").alias("_k"))
-    at = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    src = docs.withColumn("_k", at).withColumn("_n", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
-    best = best.withColumn("_n", F.coalesce(F.col("_i").cast("string"), F.lit(""))).select("_n", "_k")
-    from pyspark.sql import Window
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 2, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each group: the smallest id, nulls last, then the smallest text hash; of rows that
+    are equal in both, any one.
 
+    Groups are what links reach: fingerprints within ``threshold`` bits, and texts whose shingles have a Jaccard
+    similarity of ``similarity`` or more. Wordless and null texts are one group; an empty table stays empty."""
+    d = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
+    kind = d.schema["id"].dataType.simpleString()
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps, keys = [], []
+            for t in b.column("text"):
+                h = shingle_hashes(t.as_py(), shingle)
+                fps.append(majority(h))
+                keys.append(similar.bands(np.unique(h)) if len(h) else [])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("_h"), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "_h", "_fp", "bands"])
+
+    rows = cut(d.select("id", "_h", "text").mapInArrow(sketch, f"id {kind}, _h bigint, _fp bigint, bands array<bigint>"), "rows")
+    of_text = cut(rows.groupBy("_h").agg(F.min("_fp").alias("_fp"), F.min("bands").alias("bands")), "sketches")
+    by_fp = of_text.join(components(rows, "id", threshold).select("_fp", "root"), "_fp").select("_h", "root")
+    low = by_fp.groupBy("root").agg(F.min("_h").alias("v"))
+    near = by_fp.join(low, "root").select(F.col("_h").alias("u"), "v")
+    pairs = cut(similar.candidates(of_text.select("_h", "bands")), "pairs")
+    named = pairs.select(F.col("u").alias("_h")).union(pairs.select(F.col("v").alias("_h"))).distinct()
+    texts = similar.one_of_each(d.select("_h", "text").join(named, "_h", "left_semi"), "_h")
+    found = connected_components(near.union(similar.links(pairs, cut(texts, "texts"), similarity, shingle)))
+    group = rows.select("id", "_h").join(found.toDF("_h", "root"), "_h", "left").withColumn("root", F.coalesce("root", "_h"))
+    rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("_h").alias("h"))
+    best = group.groupBy("root").agg(F.min(rank).alias("b")).select(F.coalesce(F.col("b.i").cast("string"), F.lit("")).alias("_n"), F.col("b.h").alias("_k"))
+    src = docs.withColumn("_k", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))).withColumn("_n", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
     first = F.row_number().over(Window.partitionBy("_n", "_k").orderBy("_k"))
-    return src.join(best, ["_n", "_k"], "left_semi").withColumn("_r", first).where("_r = 1").drop("_n", "_k", "_r").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return src.join(best, ["_n", "_k"], "left_semi").withColumn("_r", first).where("_r = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
