@@ -12,11 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..profiles import Profile
-from .canon import canon_key
-
-LEAF = "struct<path:string,raw:string,empty:boolean>"
+#: key, last and segs are the path, its last segment and its segments in canonical form, made once for all fields.
+LEAF = "struct<path:string,raw:string,empty:boolean,key:string,last:string,segs:array<string>>"
 SCHEMA = f"struct<leaves:array<{LEAF}>,error:string>"
-_ARROW = pa.struct([("leaves", pa.list_(pa.struct([("path", pa.string()), ("raw", pa.string()), ("empty", pa.bool_())]))), ("error", pa.string())])
+_ARROW = pa.struct([("leaves", pa.list_(pa.struct([("path", pa.string()), ("raw", pa.string()), ("empty", pa.bool_()), ("key", pa.string()), ("last", pa.string()), ("segs", pa.list_(pa.string()))]))), ("error", pa.string())])
 
 
 def leaves(node: dict, prefix: str = "") -> Iterator[tuple[str, Any]]:
@@ -45,7 +44,17 @@ def parse(doc: bytes | str | None, profile: Profile) -> dict | None:
     if not isinstance(top, dict):
         return {"leaves": [], "error": f"metadata top level is {type(top).__name__}, expected object"}
     found = dict(leaves(top))
-    return {"leaves": [{"path": p, "raw": None if v is None else str(v), "empty": blank(v)} for p, v in found.items()], "error": None}
+    return {"leaves": [_leaf(p, v) for p, v in found.items()], "error": None}
+
+
+def _leaf(path: str, value: Any) -> dict:
+    segs = [canonical(s) for s in path.split(".")]
+    return {"path": path, "raw": None if value is None else str(value), "empty": blank(value), "key": "".join(segs), "last": segs[-1], "segs": segs}
+
+
+def canonical(name: str) -> str:
+    """Lower case, without dashes, underscores, dots and white space."""
+    return re.sub(r"[-_.\s]+", "", name.lower())
 
 
 def flatten(doc: Column, profile: Profile) -> Column:
@@ -62,21 +71,11 @@ def flatten(doc: Column, profile: Profile) -> Column:
 def resolve(found: Column, names: tuple[str, ...], order: str = "document") -> Column:
     """The raw text of the first present leaf that a spelling names: by its whole path, else its last segment,
     else any segment. With ``order`` "registry" earlier spellings win within a pass, otherwise earlier leaves."""
-    keys = list(dict.fromkeys(_canon(n) for n in names))
+    keys = list(dict.fromkeys(canonical(n) for n in names))
     groups = [keys] if order == "document" else [[k] for k in keys]
-
-    def passes(test) -> list[Column]:
-        return [F.get(_first(found, test, k), F.lit(0)).raw for k in groups]
-
-    whole = lambda path, k: canon_key(path).isin(*k)
-    last = lambda path, k: canon_key(F.element_at(F.split(path, r"\."), -1)).isin(*k)
-    any_ = lambda path, k: F.exists(F.split(path, r"\."), lambda s: canon_key(s).isin(*k))
-    return F.coalesce(*passes(whole), *passes(last), *passes(any_))
+    tests = (lambda x, k: x.key.isin(*k), lambda x, k: x.last.isin(*k), lambda x, k: F.arrays_overlap(x.segs, F.array(*map(F.lit, k))))
+    return F.coalesce(*(_first(found, test, k) for test in tests for k in groups))
 
 
 def _first(found: Column, test, keys: list[str]) -> Column:
-    return F.filter(found, lambda x: ~x.empty & test(x.path, keys))
-
-
-def _canon(name: str) -> str:
-    return re.sub(r"[-_.\s]+", "", name.lower())
+    return F.get(F.filter(found, lambda x: ~x.empty & test(x, keys)), F.lit(0)).raw

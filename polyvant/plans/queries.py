@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import ENVIRONMENT_NAMES, HOUR_US, Limits
 from ..functions import canon
 from ..functions.flatten import flatten
-from ..operators import checks, composition
+from ..operators import checks, composition, coverage
 from ..operators import rows as rows_op
 from ..profiles import PROFILES
 from ..sources import pairing
@@ -360,3 +360,31 @@ def enrich_labels(spark, sf_dir):
 
 QUERIES["enrich_labels"] = enrich_labels
 ORACLE_SQL["enrich_labels"] = """SELECT CAST(o_orderkey AS VARCHAR) AS stem, CASE WHEN o_orderkey % 2 = 0 THEN 'real' WHEN o_orderkey % 3 = 0 THEN 'contractor' END AS worker_type, CASE WHEN o_orderkey % 3 = 0 THEN 'small' END AS business_size FROM orders"""
+
+
+def _sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    doc = F.to_json(F.struct(
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string")).alias("session-uuid"), F.struct(F.col("o_orderstatus").alias("City")).alias("place"), F.lit("").alias("country"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit("g1")).alias("Glove-Device-ID"), F.lit("pick it up").alias("instruction")))
+    return o.select("o_orderkey", doc.alias("meta_json"))
+
+
+def field_coverage(spark, sf_dir):
+    return coverage.field_coverage(_sidecars(spark, sf_dir))
+
+
+QUERIES["field_coverage"] = field_coverage
+_FIELDS = " UNION ALL ".join(f"SELECT '{t}' AS tier, '{s}' AS section, '{f}' AS field" for t, ss in coverage.REGISTRY.items() for s, fs in ss.items() for f in fs)
+ORACLE_SQL["field_coverage"] = f"""WITH f AS ({_FIELDS}), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS uuids, count(*) FILTER (WHERE o_orderkey % 5 = 0) AS gloves FROM orders)
+SELECT tier, section, field, CASE tier WHEN 'glove' THEN gloves WHEN 'handheld' THEN 0 ELSE n END AS asked,
+  CASE field WHEN 'episode_uuid' THEN uuids WHEN 'city' THEN n WHEN 'task_description' THEN n WHEN 'glove_device_id' THEN gloves ELSE 0 END AS present FROM f, n"""
+
+
+def episode_ids(spark, sf_dir):
+    d = _sidecars(spark, sf_dir).withColumn("f", flatten(F.col("meta_json"), PROFILES["generic"]))
+    return d.select("o_orderkey", coverage.episode_id(F.col("f.leaves"), F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(F.lit("stem")), F.lit("source")).alias("episode_id"))
+
+
+QUERIES["episode_ids"] = episode_ids
+ORACLE_SQL["episode_ids"] = "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) WHEN o_orderkey % 3 = 0 THEN 'source' ELSE 'stem' END AS episode_id FROM orders"
