@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,46 +26,54 @@ def word_features(word: bytes, prefixes: tuple[int, ...] = (4, 5, 6, 7)) -> tupl
     return tuple(out)
 
 
+#: A bucket is also a feature of its own where a text has it at least so often.
+LEVELS = (1, 2, 3, 5)
+SIZE = BUCKETS * len(LEVELS)
+
+
 class Features:
-    """The features of texts, limited to ``chosen`` buckets if given, with a bounded cache of chunks."""
+    """The features of texts, limited to ``chosen`` ones if given, with a bounded cache of chunks. A feature is
+    level * BUCKETS + bucket."""
 
     def __init__(self, chosen: np.ndarray | None = None, cached: int = 400_000) -> None:
         self.place = None if chosen is None else {int(b): i for i, b in enumerate(chosen)}
+        self.bases = None if chosen is None else {int(b) % BUCKETS for b in chosen}
         self.known: dict[bytes, tuple[int, ...]] = {}
         self.cached = cached
 
     def of(self, chunk: bytes) -> tuple[int, ...]:
         f = word_features(chunk)
-        return f if self.place is None else tuple(self.place[x] for x in f if x in self.place)
+        return f if self.bases is None else tuple(x for x in f if x in self.bases)
 
-    def __call__(self, chunks: set[bytes]) -> set[int]:
-        known, out = self.known, set()
+    def __call__(self, chunks: Iterable[bytes]) -> list[int]:
+        known, found = self.known, {}
         if len(known) > self.cached:
             known.clear()
-        for c in chunks:
+        for c, n in Counter(chunks).items():
             f = known.get(c)
             if f is None:
                 f = known[c] = self.of(c)
-            if f:
-                out.update(f)
-        return out
+            for x in f:
+                found[x] = found.get(x, 0) + n
+        ids = [level * BUCKETS + x for x, n in found.items() for level, least in enumerate(LEVELS) if n >= least]
+        return sorted(ids if self.place is None else (self.place[i] for i in ids if i in self.place))
 
 
 def counts(rows: DataFrame) -> np.ndarray:
-    """(2, BUCKETS): in how many texts of ``rows`` (y double in 0..1, text) each bucket is found, weighted by
-    1 - y and y. Each task sums its own; at most BUCKETS rows reach the driver."""
+    """(2, SIZE): in how many texts of ``rows`` (y double in 0..1, text) each feature is found, weighted by 1 - y
+    and y. Each task sums its own; at most SIZE rows reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, total = Features(), np.zeros((2, BUCKETS))
+        features, total = Features(), np.zeros((2, SIZE))
         for b in batches:
             for y, t in zip(b.column("y").to_pylist(), b.column("text").to_pylist()):
-                f = list(features(set((t or "").encode().lower().split())))
+                f = features((t or "").encode().lower().split())
                 total[0, f] += 1 - y
                 total[1, f] += y
         at = np.flatnonzero(total.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0, at]), pa.array(total[1, at])], ["b", "n", "p"])
 
-    out = np.zeros((2, BUCKETS))
+    out = np.zeros((2, SIZE))
     for r in rows.select("y", "text").mapInArrow(run, "b bigint, n double, p double").groupBy("b").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).where("n + p >= 4").toLocalIterator():
         out[:, r["b"]] = r["n"], r["p"]
     return out
@@ -88,11 +97,10 @@ def matrix(rows: DataFrame, chosen: np.ndarray, swap: dict[bytes, bytes] | None
         for b in batches:
             here, there = [], []
             for t in b.column("text").to_pylist():
-                chunks = set((t or "").encode().lower().split())
-                f = features(chunks)
-                here.append(sorted(f))
+                chunks = (t or "").encode().lower().split()
+                here.append(features(chunks))
                 hit = swap and not swap.keys().isdisjoint(chunks)
-                there.append(sorted(features({swap.get(c, c) for c in chunks})) if hit else None)
+                there.append(features(swap.get(c, c) for c in chunks) if hit else None)
             yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(here, pa.list_(pa.int32())), pa.array(there, pa.list_(pa.int32()))], ["y", "f", "g"])
 
     found = rows.select(F.col("y").cast("double").alias("y"), "text").mapInArrow(run, "y double, f array<int>, g array<int>").collect()
@@ -152,7 +160,7 @@ def score(docs: DataFrame, chosen: np.ndarray, weights: np.ndarray, bias: float,
         buckets, w, b0 = model.value
         features, w = Features(buckets), w.tolist()
         for b in batches:
-            z = np.array([b0 + sum(sorted(w[i] for i in features(set((t.as_py() or "").encode().lower().split())))) for t in b.column("_text")])
+            z = np.array([b0 + sum(w[i] for i in features((t.as_py() or "").encode().lower().split())) for t in b.column("_text")])
             rest = [b.column(n) for n in keep]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], [*keep, "score"])
 
