@@ -167,7 +167,8 @@ def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col:
     # of equal texts one goes on; the others repeat it as a whole
     texts = cut(seen.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"), F.min(F.struct("g", "p")).alias("x")), "texts")
     suffixes = texts.select("key", F.explode(F.arrays_zip("x.g", "x.p")).alias("s")).select("key", F.col("s.g").alias("g"), F.col("s.p").alias("p"))
-    often = suffixes.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    # stored, so that both sides of the join are dealt for it alone and a gram that many texts share can be split
+    often = cut(suffixes.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "often")
     kept = suffixes.join(often, "g").groupBy("key").agg(F.collect_list(F.struct("p", "g", (F.col("k") > long_run).alias("hot"))).alias("s"))  # as long as a text
     first = src.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"))).alias("f")).select("key", F.col("f.b").alias("only"))
     kept = kept.join(first, "key")
