@@ -163,7 +163,7 @@ def components(rows: DataFrame, id_col: str, threshold: int = 2) -> DataFrame:
     by_fp = cut(rows.groupBy("_fp").agg(F.min(f"`{id_col}`").alias("least_id")), "fingerprints")
     found = connected_components(links(by_fp, threshold))
     named = by_fp.join(found.toDF("_fp", "root"), "_fp", "left").withColumn("root", F.coalesce("root", "_fp"))
-    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    least = cut(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")  # stored: a join with it can be split
     return cut(named.select("_fp", "root").join(least, "root").select("_fp", "component_id", "root"), "components")
 
 
@@ -199,7 +199,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     rows = cut(d.select("id", "_h", "text").mapInArrow(sketch, f"id {kind}, _h bigint, _fp bigint, bands array<bigint>"), "rows")
     of_text = cut(rows.groupBy("_h").agg(F.min("_fp").alias("_fp"), F.min("bands").alias("bands")), "sketches")
     by_fp = of_text.join(components(rows, "id", threshold).select("_fp", "root"), "_fp").select("_h", "root")
-    low = by_fp.groupBy("root").agg(F.min("_h").alias("v"))
+    low = cut(by_fp.groupBy("root").agg(F.min("_h").alias("v")), "low")
     near = by_fp.join(low, "root").select(F.col("_h").alias("u"), "v")
     pairs = cut(similar.candidates(of_text.select("_h", "bands")), "pairs")
     named = pairs.select(F.col("u").alias("_h")).union(pairs.select(F.col("v").alias("_h"))).distinct()

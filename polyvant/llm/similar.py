@@ -61,7 +61,7 @@ def candidates(sketches: DataFrame, small: int = 16) -> DataFrame:
     few = shared.where(F.col("n") <= small).select("k", "_h")
     pairs = few.toDF("k", "u").join(few.toDF("k", "v"), "k").where("u < v").select("u", "v")
     many = cut(shared.where(F.col("n") > small).select("k", "_h").join(popular, "_h"), "many")
-    hub = many.groupBy("k").agg(F.max(F.struct("popular", "_h")).alias("x")).select("k", F.col("x._h").alias("v"))
+    hub = cut(many.groupBy("k").agg(F.max(F.struct("popular", "_h")).alias("x")).select("k", F.col("x._h").alias("v")), "hubs")
     star = many.join(hub, "k").where(F.col("_h") != F.col("v")).select(F.least("_h", "v").alias("u"), F.greatest("_h", "v").alias("v"))
     return pairs.union(star).distinct()
 
