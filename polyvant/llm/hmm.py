@@ -12,10 +12,12 @@ matrices maps what enters it to what leaves it; chunks are then chained within e
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -238,6 +240,53 @@ def word_counts(docs: DataFrame, held: int = 500_000) -> DataFrame:
     return cut(docs.select("text").mapInArrow(run, "h bigint, tail int, c bigint").groupBy("h").agg(F.first("tail").alias("tail"), F.sum("c").alias("c")), "counts")
 
 
+class Words(dict):
+    """What is known of each word, as rows of arrays: its class, log10(c + 1) for a common word, its share of a
+    class with others, and its hash if it is not common. Words met before are kept, up to a bound."""
+
+    def __init__(self, own: dict[int, int], known: dict[int, int], log_mass: np.ndarray, own_classes: int, cached: int = 400_000) -> None:
+        super().__init__()
+        self.own, self.common, self.log_mass, self.own_classes, self.cached = own, known, log_mass, own_classes, cached
+        self.cls, self.up, self.part, self.hash = (np.zeros(0, dtype=t) for t in ("<u2", float, float, np.int64))
+        self.new: list[tuple[int, float, float, int]] = []
+
+    def __missing__(self, w: bytes) -> int:
+        h = word_key(w)
+        c, cls = self.common.get(h), self.own.get(h)
+        up = math.log10(c + 1) if c is not None else 0.0
+        if cls is None:
+            tail = tail_class(w)
+            self.new.append((self.own_classes + tail, up, up - self.log_mass[tail], 0 if c is not None else h))
+        else:
+            self.new.append((cls, up, 0.0, 0))
+        i = self[w] = len(self)
+        return i
+
+    def ids(self, texts: list[list[bytes]], n: int) -> np.ndarray:
+        """Rows of the words of ``texts``, which are ``n``."""
+        if len(self) > self.cached:
+            self.clear()
+            self.cls, self.up, self.part, self.hash = (x[:0] for x in (self.cls, self.up, self.part, self.hash))
+        out = np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), dtype=np.int32, count=n)
+        if self.new:
+            cols = zip(*self.new)
+            self.cls, self.up, self.part, self.hash = (np.concatenate([x, np.array(c, dtype=x.dtype)]) for x, c in zip((self.cls, self.up, self.part, self.hash), cols))
+            self.new = []
+        return out
+
+
+def most_frequent(counts: DataFrame, n: int) -> list:
+    """The ``n`` words with the highest counts. Steps of the counts' logarithm are counted first, so that tasks
+    send little more than ``n`` rows together, not ``n`` each."""
+    step = F.floor(F.log2("c") * 8)
+    enough, least = 0, 0
+    for r in counts.groupBy(step.alias("b")).count().orderBy(F.desc("b")).collect():  # 8 for each doubling
+        enough, least = enough + r["count"], r["b"]
+        if enough >= n:
+            break
+    return counts.where(step >= least).orderBy(F.desc("c"), "h").limit(n).collect()
+
+
 def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", states: int = 6, own_classes: int = 8192, common: int = 65536, passes: int = 2, sample: int = 400) -> DataFrame:
     """doc_id, trained, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
 
@@ -251,7 +300,7 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
     counts = word_counts(src.where("trained"))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, v_all = total["n"], total["v"]
-    top = counts.orderBy(F.desc("c"), "h").limit(common).collect()  # `common` rows
+    top = most_frequent(counts, common)
     own = {r["h"]: i for i, r in enumerate(top[:own_classes])}
     tails = {r["tail"]: (r["n"], r["v"]) for r in counts.groupBy("tail").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}  # TAILS rows
     for r in top[:own_classes]:
@@ -269,43 +318,28 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
     tables = spark.sparkContext.broadcast((own, known, np.log10(mass)))  # bounded by `common` and TAILS
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Classes of each token; of common words the base sum; hashes of the rest."""
-        own, known, log_mass = tables.value
-        seen: dict[bytes, tuple[int, float, float, int]] = {}  # class, log10(c + 1), share of its class, hash or 0
-
-        def learn(w: bytes) -> tuple[int, float, float, int]:
-            h = word_key(w)
-            c = known.get(h)
-            cls = own.get(h)
-            up = np.log10(c + 1.0) if c is not None else 0.0
-            if cls is not None:
-                return cls, up, 0.0, 0
-            tail = tail_class(w)
-            return own_classes + tail, up, up - log_mass[tail], 0 if c is not None else h
-
+        words = Words(*tables.value, own_classes)
         for b in batches:
-            out: list[tuple] = []
-            for t in b.column("text"):
-                words = lower_words(t.as_py())
-                words.append(END)
-                if len(seen) > 400_000:
-                    seen.clear()
-                new = set(words).difference(seen)
-                seen.update((w, learn(w)) for w in new)
-                got = list(map(seen.__getitem__, words))
-                cls, up, part, rest = zip(*got)
-                left = [h for h in rest if h]
-                out.append((np.array(cls, dtype="<u2").tobytes(), len(words), len(words) - len(left), sum(up), sum(part), left))
-            cols = list(zip(*out)) or [()] * 6
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("trained"), *(pa.array(c, k) for c, k in zip(cols, kinds))], ["doc_id", "trained", "x", "n_tokens", "n_common", "up", "part", "rest"])
+            for first in range(0, b.num_rows, 512):
+                part = b.slice(first, 512)
+                texts = [[*lower_words(t.as_py()), END] for t in part.column("text")]
+                n = np.array([len(t) for t in texts])
+                i = words.ids(texts, int(n.sum()))
+                start = np.concatenate([[0], np.cumsum(n)])
+                h = words.hash[i]
+                left = h != 0
+                rest = np.add.reduceat(left, start[:-1], dtype=np.int64)
+                sums = (np.add.reduceat(x[i], start[:-1]) for x in (words.up, words.part))
+                x = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((2 * start).astype(np.int32)), pa.py_buffer(words.cls[i])])
+                hashes = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(rest)]).astype(np.int32)), pa.array(h[left]))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("trained"), x, pa.array(n), pa.array(n - rest), *map(pa.array, sums), hashes], ["doc_id", "trained", "x", "n_tokens", "n_common", "up", "part", "rest"])
 
     coded = src.mapInArrow(encode, f"doc_id {kind}, trained boolean, x binary, n_tokens bigint, n_common bigint, up double, part double, rest array<bigint>")
     coded = cut(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
     size, fits = own_classes + TAILS, coded.where("trained").select("row", "x")
     n_fit = max(1, fits.count())
     few = fits.where(F.pmod(F.xxhash64("row"), F.lit(1_000_000)) < min(1_000_000, int(sample / n_fit * 1e6) + 1)).orderBy(F.xxhash64("row")).limit(sample)
-    seqs = [np.frombuffer(r["x"], "<u2")[:4096].astype(np.int32) for r in few.collect()]  # `sample` texts; only the start of a fit
+    seqs = [np.frombuffer(r["x"], "<u2").astype(np.int32) for r in few.select(F.substring("x", 1, 8192).alias("x")).collect()]  # a bounded start for the fit
     model = initial(seqs, share, states)
 
     for _ in range(passes):
