@@ -33,23 +33,28 @@ def norm(chunk: bytes) -> bytes:
     return _EDGE.sub(b"", chunk)
 
 
-class Coder:
-    """Word ids of texts: 0 for words outside the vocabulary."""
+class Coder(dict):
+    """Word ids of texts: 0 for words outside the vocabulary. Chunks met before are kept, up to a bound."""
 
     def __init__(self, vocabulary: dict[bytes, int], cached: int = 500_000) -> None:
-        self.vocabulary, self.known, self.cached = vocabulary, {}, cached
+        super().__init__()
+        self.vocabulary, self.cached, self.kind = vocabulary, cached, code_type(len(vocabulary) + 1)
 
-    def __call__(self, text: str | None) -> np.ndarray:
+    def __missing__(self, chunk: bytes) -> int:
+        code = self[chunk] = self.vocabulary.get(norm(chunk), 0)
+        return code
+
+    def code(self, text: str | None) -> np.ndarray:
         if not text:
-            return np.zeros(0, dtype=np.int32)
-        chunks, known = text.encode().lower().split(), self.known
-        new = set(chunks).difference(known)
-        if new:
-            if len(known) > self.cached:
-                known.clear()
-                new = set(chunks)
-            known.update((c, self.vocabulary.get(norm(c), 0)) for c in new)
-        return np.fromiter(map(known.__getitem__, chunks), dtype=np.int32, count=len(chunks))
+            return np.zeros(0, dtype=self.kind)
+        if len(self) > self.cached:
+            self.clear()
+        chunks = text.encode().lower().split()
+        return np.fromiter(map(self.__getitem__, chunks), dtype=self.kind, count=len(chunks))
+
+
+def code_type(m: int) -> str:
+    return "<u2" if m <= 1 << 16 else "<u4"
 
 
 def halves(seqs: list[np.ndarray], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,9 +65,9 @@ def halves(seqs: list[np.ndarray], weight: np.ndarray) -> tuple[np.ndarray, np.n
     if not n.sum():
         return np.zeros(0, np.int64), np.zeros(0, np.int32), start
     x = np.concatenate(seqs)
-    at = np.repeat(start[:-1], n) + (np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)) // HALF
-    use = weight[x] > 0
-    return at[use], x[use], start
+    use = np.flatnonzero(weight[x] > 0)
+    doc = np.repeat(np.arange(len(seqs)), n)[use]
+    return start[doc] + (use - (np.cumsum(n) - n)[doc]) // HALF, x[use], start
 
 
 def project(at: np.ndarray, x: np.ndarray, n: int, basis: np.ndarray) -> np.ndarray:
@@ -101,6 +106,9 @@ class Model:
     common: float
     answer: float
 
+    def __post_init__(self) -> None:
+        self.longest = max(map(len, self.items), default=0)
+
 
 def hits(seqs: list[np.ndarray], model: Model) -> list[list[tuple[int, float, float, float, int]]]:
     """For each text: (item, cosine, share of the item, share of its ending, first word) of what is found, the
@@ -114,18 +122,24 @@ def hits(seqs: list[np.ndarray], model: Model) -> list[list[tuple[int, float, fl
         last[start[1:] - 1] = True
         w = z.copy()
         w[:-1] += np.where(last[:-1, None], 0, z[1:])
-        size = np.sqrt((w * w).sum(axis=1))
+        size = np.sqrt(np.einsum("ij,ij->i", w, w))
         some = np.flatnonzero(size > 0)
         if not len(some):
             continue
         for k in range(0, len(some), 8192):
             rows = some[k : k + 8192]
             c = (w[rows] / size[rows, None]) @ model.vectors.T
-            for r, i in zip(*np.nonzero(c >= model.cosine)):
+            last_half, around, held = -1, np.zeros(0, np.int32), set()
+            for r, i in zip(*(x.tolist() for x in np.nonzero(c >= model.cosine))):
                 half = int(rows[r])
-                d = int(np.searchsorted(start, half, side="right")) - 1
+                if half != last_half:
+                    d = int(np.searchsorted(start, half, side="right")) - 1
+                    first, last_half = (half - int(start[d])) * HALF, half
+                    around = part[d][max(0, first - model.longest) : first + 2 * HALF + model.longest]
+                    held = set(around.tolist())
                 item = model.items[i]
-                first = (half - int(start[d])) * HALF
+                if sum(map(held.__contains__, item)) < model.common * len(item):
+                    continue  # no subsequence can be longer than what is there at all
                 words = part[d][max(0, first - len(item)) : first + 2 * HALF + len(item)]
                 words = words[words > 0].tolist()
                 share = lcs(item, words) / len(item)
@@ -176,18 +190,28 @@ def _vector_sum(rows: DataFrame, name: str) -> dict[int, np.ndarray]:
     return {r["t"]: np.frombuffer(r["v"], dtype=np.float64) for r in rows.repartition("t").mapInArrow(run, "t int, v binary").toLocalIterator()}
 
 
-def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank: int = 128, frequent: float = 0.02, cosine: float = 0.4, common: float = 0.6, answer: float = 0.5) -> Model:
-    """The latent space of the passages of ``coded`` (x: word ids as binary) and of the block's items."""
+def _seqs(b: pa.RecordBatch, first: int, n: int, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(v.as_buffer(), dtype=kind) for v in b.column("x").slice(first, n)]
+
+
+def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank: int = 64, frequent: float = 0.005, rarest: int = 8, cosine: float = 0.5, common: float = 0.6, answer: float = 0.5) -> Model:
+    """The latent space of the passages of ``coded`` (x: word ids as binary) and of the block's items. Words in more
+    than the share ``frequent`` of the passages have no weight, but for the ``rarest`` words of each item."""
     m = len(vocabulary) + 1
+    kind = code_type(m)
     flat = np.ones(m)
     flat[0] = 0
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(m, dtype=np.int64), 0
         for b in batches:
-            at, x, start = halves([np.frombuffer(v.as_buffer(), dtype="<i4") for v in b.column("x")], flat)
-            df += np.bincount(np.unique(at * m + x) % m, minlength=m)
-            n += int(start[-1])
+            for k in range(0, b.num_rows, 1000):
+                at, x, start = halves(_seqs(b, k, 1000, kind), flat)
+                by = np.argsort(x, kind="stable")  # by word, then by half: a repeat within a half follows itself
+                x, at = x[by], at[by]
+                new = np.concatenate([[True], (x[1:] != x[:-1]) | (at[1:] != at[:-1])])[: len(x)]
+                df += np.bincount(x[new], minlength=m)
+                n += int(start[-1])
         df[0] = n
         t = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(df[t])], ["t", "n"])
@@ -197,11 +221,11 @@ def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank
         df[r["t"]] = r["n"]
     total = df[0]
     weight = np.log((1 + total) / (1 + df))
-    seen_in = np.zeros(m)
     codes = [[vocabulary[w] for w in words] for _, words in block]
-    for c in codes:
-        seen_in[list(set(c))] += 1
-    weight[(df > frequent * total) & (seen_in < len(codes))] = 0
+    own = {w for c in codes for w in sorted(set(c), key=lambda w: df[w])[:rarest]}
+    often = df > frequent * total
+    often[list(own)] = False
+    weight[often] = 0
     weight[df > 0.25 * total] = 0
     weight[0] = 0
     if not weight[1:].any():  # a corpus this small has no rare words: all count alike
@@ -213,7 +237,7 @@ def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank
         y = np.zeros((m, d))
         for b in batches:
             for k in range(0, b.num_rows, 2000):
-                at, x, start = halves([np.frombuffer(v.as_buffer(), dtype="<i4") for v in b.column("x").slice(k, 2000)], weight)
+                at, x, start = halves(_seqs(b, k, 2000, kind), weight)
                 if len(at):
                     z = project(at, x, int(start[-1]), omega)
                     by = np.argsort(x, kind="stable")
@@ -229,8 +253,8 @@ def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank
     a = np.zeros((len(codes), m), dtype=np.float32)
     for i, c in enumerate(codes):
         np.add.at(a[i], c, weight[c])
-    own = a.T @ (a @ (omega / np.where(weight > 0, weight, 1)[:, None]))
-    y = y / max(np.linalg.norm(y), 1e-9) + own / max(np.linalg.norm(own), 1e-9)
+    ground = a.T @ (a @ (omega / np.where(weight > 0, weight, 1)[:, None]))
+    y = y / max(np.linalg.norm(y), 1e-9) + ground / max(np.linalg.norm(ground), 1e-9)
     q = np.linalg.qr(y)[0]
     vectors = a @ q
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
@@ -243,7 +267,7 @@ def _coded(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Coder(vocabulary)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([code(t.as_py()).astype("<i4").tobytes() for t in b.column("text")], pa.binary())], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([code.code(t.as_py()).tobytes() for t in b.column("text")], pa.binary())], ["doc_id", "x"])
 
     return cut(docs.mapInArrow(run, f"doc_id {kind}, x binary"), "coded")
 
@@ -274,7 +298,7 @@ def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names = shared.value.names
             for b in batches:
-                found = hits([np.frombuffer(v.as_buffer(), dtype="<i4") for v in b.column("x")], shared.value)
+                found = hits(_seqs(b, 0, b.num_rows, code_type(len(shared.value.weight))), shared.value)
                 rows = [(k, names[i], *rest) for k, hs in enumerate(found) for i, *rest in hs]
                 if rows:
                     cols = list(zip(*rows))
@@ -296,6 +320,6 @@ def _holds(shared):
     def holds(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         code = Coder(shared.value.vocabulary)
         for b in batches:
-            yield pa.array([bool(h) for h in hits([code(t.as_py()) for t in b], shared.value)], pa.bool_())
+            yield pa.array([bool(h) for h in hits([code.code(t.as_py()) for t in b], shared.value)], pa.bool_())
 
     return F.arrow_udf(holds, "boolean")
