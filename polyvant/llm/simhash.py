@@ -203,7 +203,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     near = by_fp.join(low, "root").select(F.col("_h").alias("u"), "v")
     pairs = cut(similar.candidates(of_text.select("_h", "bands")), "pairs")
     named = pairs.select(F.col("u").alias("_h")).union(pairs.select(F.col("v").alias("_h"))).distinct()
-    texts = similar.one_of_each(d.select("_h", "text").join(named, "_h", "left_semi"), "_h")
+    texts = d.groupBy("_h").agg(F.first("text").alias("text")).join(named, "_h", "left_semi")  # tasks drop copies before they deal texts
     found = connected_components(near.union(similar.links(pairs, cut(texts, "texts"), similarity, shingle)))
     group = rows.select("id", "_h").join(found.toDF("_h", "root"), "_h", "left").withColumn("root", F.coalesce("root", "_h"))
     rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("_h").alias("h"))
