@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 _scratch: list[tuple[SparkSession, str]] = []
+atexit.register(lambda: release())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,8 +28,6 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/polyvant/{name}-{uuid.uuid4().hex}"
-    if not _scratch:
-        atexit.register(release)
     _scratch.append((spark, path))
     return path
 
@@ -42,13 +41,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Deletes what ``cut`` has written; called at exit, or by a caller that has stored its results."""
-    while _scratch:
-        spark, path = _scratch.pop()
+def stored() -> list[str]:
+    """The tables that ``cut`` has written and nobody has released."""
+    return [path for _, path in _scratch]
+
+
+def release(paths: list[str] | None = None) -> None:
+    """Deletes what ``cut`` has written, or those of ``paths``; called at exit, or by a caller that has stored what
+    it made from them."""
+    for spark, path in [x for x in _scratch if paths is None or x[1] in paths]:
+        _scratch.remove((spark, path))
         try:
-            jvm = spark._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
         except Exception:  # noqa: BLE001  the session may have ended
             pass
