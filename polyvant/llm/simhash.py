@@ -13,7 +13,7 @@ the square of a group of copies.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import combinations
 
 import numpy as np
@@ -201,10 +201,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     by_fp = of_text.join(components(rows, "id", threshold).select("_fp", "root"), "_fp").select("_h", "root")
     low = cut(by_fp.groupBy("root").agg(F.min("_h").alias("v")), "low")
     near = by_fp.join(low, "root").select(F.col("_h").alias("u"), "v")
-    pairs = cut(similar.candidates(of_text.select("_h", "bands")), "pairs")
+    pairs, many = similar.candidates(of_text.select("_h", "bands"))
+    pairs = cut(pairs, "pairs")
     named = pairs.select(F.col("u").alias("_h")).union(pairs.select(F.col("v").alias("_h"))).distinct()
     texts = d.groupBy("_h").agg(F.first("text").alias("text")).join(named, "_h", "left_semi")  # tasks drop copies before they deal texts
-    found = connected_components(near.union(similar.links(pairs, cut(texts, "texts"), similarity, shingle)))
+    texts = cut(texts, "texts")
+    edges = cut(near.union(similar.links(pairs, texts, similarity, shingle)), "near")
+    found = connected_components(edges)
+    apart = similar.divided(many, found)
+    if not apart.isEmpty():
+        more = cut(similar.crossing(apart, texts, similarity, partial(shingle_hashes, shingle=shingle)), "crossing")
+        found = connected_components(edges.union(similar.links(more, texts, similarity, shingle)))
     group = rows.select("id", "_h").join(found.toDF("_h", "root"), "_h", "left").withColumn("root", F.coalesce("root", "_h"))
     rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("_h").alias("h"))
     best = group.groupBy("root").agg(F.min(rank).alias("b")).select(F.coalesce(F.col("b.i").cast("string"), F.lit("")).alias("_n"), F.col("b.h").alias("_k"))

@@ -7,12 +7,14 @@ the shingles, in bands, and the similarity of each candidate is computed exactly
 Texts that share a band are compared without making all pairs: in a small bucket each with each, which is at most
 ``small`` for a member; in a large one each with the bucket's hub, the member whose bands are the most popular.
 Copies of one text that were edited apart from each other resemble that text more than one another, and it is
-the one that shares most bands with all of them.
+the one that shares most bands with all of them. Where a large bucket is still in several groups after that, its
+texts are joined by their rarest shingles (``crossing``): that leaves out no pair which is similar enough, and
+makes no pair within a group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +54,9 @@ def _set(text: str | None, shingle: int) -> set:
     return set(zip(*(w[i:] for i in range(shingle)))) if len(w) >= shingle else {tuple(w)} if w else set()
 
 
-def candidates(sketches: DataFrame, small: int = 16) -> DataFrame:
-    """(u, v) from ``sketches`` (_h, bands), one row for each different text."""
+def candidates(sketches: DataFrame, small: int = 16) -> tuple[DataFrame, DataFrame]:
+    """(u, v) from ``sketches`` (_h, bands), one row for each different text; and (k, _h) of the buckets of more
+    than ``small``, in which not all pairs are among them."""
     rows = sketches.select("_h", F.explode("bands").alias("k"))
     size = cut(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     shared = cut(rows.join(size, "k"), "shared")
@@ -63,7 +66,55 @@ def candidates(sketches: DataFrame, small: int = 16) -> DataFrame:
     many = cut(shared.where(F.col("n") > small).select("k", "_h").join(popular, "_h"), "many")
     hub = cut(many.groupBy("k").agg(F.max(F.struct("popular", "_h")).alias("x")).select("k", F.col("x._h").alias("v")), "hubs")
     star = many.join(hub, "k").where(F.col("_h") != F.col("v")).select(F.least("_h", "v").alias("u"), F.greatest("_h", "v").alias("v"))
-    return pairs.union(star).distinct()
+    return pairs.union(star).distinct(), many.select("k", "_h")
+
+
+def divided(many: DataFrame, found: DataFrame) -> DataFrame:
+    """(_h, root): the texts of those buckets of ``many`` (k, _h) that are in several groups of ``found`` (node, root)."""
+    rooted = many.join(found.toDF("_h", "root"), "_h", "left").withColumn("root", F.coalesce("root", "_h"))
+    rooted = cut(rooted, "rooted")
+    split = cut(rooted.groupBy("k").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("k"), "divided")
+    return cut(rooted.join(split, "k").select("_h", "root").distinct(), "apart")
+
+
+def crossing(apart: DataFrame, texts: DataFrame, similarity: float, hashes: Callable[[str], np.ndarray], ranked: int = 1 << 18) -> DataFrame:
+    """(u, v): every pair of ``apart`` (_h, root) with different roots that can have the ``similarity``.
+
+    With each text's shingles in one order for all, rarest first, the first one that two texts share has at most
+    ``size - place`` shared ones from there on in either; that has to reach the overlap which the similarity asks
+    for. Only the ``ranked`` most frequent shingles are told apart by frequency; the order is the same for all texts
+    in any case. At a shingle, the rows outside its largest group meet all rows of other groups."""
+    src = cut(apart.join(texts, "_h").select("_h", "root", "text"), "apart_texts")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, n = np.unique(np.concatenate([np.unique(hashes(t.as_py())) for t in b.column("text")]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(n)], ["x", "n"])
+
+    often = src.select("text").mapInArrow(count, "x bigint, n bigint").groupBy("x").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "x").limit(ranked).toPandas()
+    by = np.argsort(often["x"].to_numpy(np.int64))
+    shared = src.sparkSession.sparkContext.broadcast((often["x"].to_numpy(np.int64)[by], often["n"].to_numpy(np.int64)[by]))  # at most `ranked`
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, n = shared.value
+        for b in batches:
+            out, size = [], []
+            for t in b.column("text"):
+                x = np.unique(hashes(t.as_py())).view(np.int64)
+                at = np.minimum(np.searchsorted(known, x), max(0, len(known) - 1))
+                f = np.where(known[at] == x, n[at], 0) if len(known) else np.zeros(len(x), np.int64)
+                size.append(len(x))
+                out.append(x[np.lexsort((x, f))][: len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1])
+            yield pa.RecordBatch.from_arrays([b.column("_h"), b.column("root"), pa.array(size, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["_h", "root", "size", "x"])
+
+    rows = cut(src.mapInArrow(rarest, "_h bigint, root bigint, size bigint, x array<bigint>").select("_h", "root", "size", F.posexplode("x").alias("place", "x")), "rarest")
+    groups = rows.groupBy("x", "root").agg(F.count(F.lit(1)).alias("n"))
+    most = cut(groups.groupBy("x").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("groups")).where("groups > 1").select("x", F.col("m.root").alias("most")), "most")
+    rows = cut(rows.join(most, "x"), "shared_shingles")
+    a = rows.where("root <> most").select("x", *(F.col(c).alias(f"{c}_a") for c in ("_h", "root", "size", "place")))
+    least = F.ceil((F.col("size_a") + F.col("size")) * (similarity / (1 + similarity)) - 1e-9)
+    met = a.join(rows, "x").where((F.col("root_a") != F.col("root")) & (F.col("size_a") - F.col("place_a") >= least) & (F.col("size") - F.col("place") >= least))
+    return met.select(F.least("_h_a", "_h").alias("u"), F.greatest("_h_a", "_h").alias("v")).distinct()
 
 
 def links(pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
