@@ -4,7 +4,9 @@ Passages become TF-IDF vectors over the benchmark's vocabulary. A randomised ran
 passages' Gram matrix with random directions, summed over partitions, and its orthonormal basis is the latent
 space. Each passage of every text is compared with all items by cosine in that space; a candidate then has
 to hold enough of the item as a longest common subsequence of words, and of the item's ending (its answer),
-so a text that shares a topic or common words stays.
+so a text that shares a topic or common words stays. An item much shorter than a passage is a small part of any
+passage's vector, so short items go without the cosine: texts are looked up by the items' rarest words, of which
+a text that holds enough of the item has to hold some, so none is left out.
 
 Benchmarks are taken in blocks of bounded size, so the vocabulary, the basis and the item vectors that every
 task holds are bounded too.
@@ -12,9 +14,11 @@ task holds are bounded too.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -105,9 +109,58 @@ class Model:
     cosine: float
     common: float
     answer: float
+    exact: np.ndarray  # item: whether it is looked for by ``keys``, not by cosine
+    keys: np.ndarray  # words of those items, sorted: one for each row of ``of``
+    of: np.ndarray  # the item of each key
+    least: np.ndarray  # item: how many of its keys a text has to hold
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.items), default=0)
+        self.lengths = np.array([len(i) for i in self.items], dtype=np.int64)
+
+
+def rare_keys(item: list[int], df: np.ndarray, common: float, bound: float, more: int = 2) -> tuple[list[int], int]:
+    """(words, least): who holds the share ``common`` of the item as a subsequence holds its words ``least`` times or
+    more. They are the rarest ones at more places than may be missing, and those at up to ``more`` other places
+    that no more than ``bound`` passages have."""
+    missing = len(item) - math.ceil(common * len(item) - 1e-9)
+    keys, places = [], 0
+    for w in sorted(set(item), key=lambda w: (df[w], w)):
+        if places > missing + more or places > missing and df[w] > bound:
+            break
+        keys.append(w)
+        places += item.count(w)
+    return keys, places - missing
+
+
+def by_keys(part: list[np.ndarray], start: np.ndarray, model: Model) -> Iterator[tuple[int, int]]:
+    """(half, item) for each place of the texts ``part`` whose surroundings hold enough of the item's keys."""
+    if not len(model.keys):
+        return
+    x = np.concatenate(part).astype(np.int64)
+    n = np.array([len(s) for s in part], dtype=np.int64)
+    lo, hi = np.searchsorted(model.keys, x, "left"), np.searchsorted(model.keys, x, "right")
+    at = np.flatnonzero(hi > lo)
+    k = (hi - lo)[at]
+    doc = np.repeat(np.arange(len(part)), n)[at]
+    pos = at - (np.cumsum(n) - n)[doc]
+    ends = np.searchsorted(doc, np.arange(len(part)), "right")
+    made = np.concatenate([[0], np.cumsum(k)])
+    a = d = 0
+    while a < len(at):  # whole texts, of about a million keys
+        d = max(d + 1, int(np.searchsorted(made[ends], made[a] + 1_000_000, "right")))
+        b = int(ends[d - 1])
+        rep = np.repeat(np.arange(a, b), k[a:b])
+        item = model.of[lo[at[rep]] + np.arange(len(rep)) - np.repeat(made[a:b] - made[a], k[a:b])]
+        own, p, length = doc[rep], pos[rep], model.lengths[item]
+        first = np.maximum((p - 2 * HALF - length) // HALF + 1, 0)  # the halves whose surroundings hold the place
+        past = np.minimum((p + length) // HALF, start[own + 1] - start[own] - 1) + 1
+        times = np.maximum(past - first, 0)
+        half = np.repeat(start[own] + first, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        found, many = np.unique(half * len(model.items) + np.repeat(item, times), return_counts=True)
+        found = found[many >= model.least[found % len(model.items)]]
+        yield from zip((found // len(model.items)).tolist(), (found % len(model.items)).tolist())
+        a = b
 
 
 def hits(seqs: list[np.ndarray], model: Model) -> list[list[tuple[int, float, float, float, int]]]:
@@ -124,31 +177,34 @@ def hits(seqs: list[np.ndarray], model: Model) -> list[list[tuple[int, float, fl
         w[:-1] += np.where(last[:-1, None], 0, z[1:])
         size = np.sqrt(np.einsum("ij,ij->i", w, w))
         some = np.flatnonzero(size > 0)
-        if not len(some):
-            continue
-        for k in range(0, len(some), 8192):
-            rows = some[k : k + 8192]
-            c = (w[rows] / size[rows, None]) @ model.vectors.T
-            last_half, around, held = -1, np.zeros(0, np.int32), set()
-            for r, i in zip(*(x.tolist() for x in np.nonzero(c >= model.cosine))):
-                half = int(rows[r])
-                if half != last_half:
-                    d = int(np.searchsorted(start, half, side="right")) - 1
-                    first, last_half = (half - int(start[d])) * HALF, half
-                    around = part[d][max(0, first - model.longest) : first + 2 * HALF + model.longest]
-                    held = set(around.tolist())
-                item = model.items[i]
-                if sum(map(held.__contains__, item)) < model.common * len(item):
-                    continue  # no subsequence can be longer than what is there at all
-                words = part[d][max(0, first - len(item)) : first + 2 * HALF + len(item)]
-                words = words[words > 0].tolist()
-                share = lcs(item, words) / len(item)
-                if share < model.common:
-                    continue
-                end = item[-max(1, len(item) // 4) :]
-                ending = lcs(end, words) / len(end)
-                if ending >= model.answer:
-                    out[lo + d].append((int(i), float(c[r, i]), share, ending, first))
+
+        def near() -> Iterator[tuple[int, int]]:
+            for k in range(0, len(some), 8192):
+                rows = some[k : k + 8192]
+                c = (w[rows] / size[rows, None]) @ model.vectors.T
+                for r, i in zip(*(x.tolist() for x in np.nonzero((c >= model.cosine) & ~model.exact))):
+                    yield int(rows[r]), i
+
+        last_half, around, held = -1, np.zeros(0, np.int32), set()
+        for half, i in chain(near(), by_keys(part, start, model)):
+            if half != last_half:
+                d = int(np.searchsorted(start, half, side="right")) - 1
+                first, last_half = (half - int(start[d])) * HALF, half
+                around = part[d][max(0, first - model.longest) : first + 2 * HALF + model.longest]
+                held = set(around.tolist())
+            item = model.items[i]
+            if sum(map(held.__contains__, item)) < model.common * len(item):
+                continue  # no subsequence can be longer than what is there at all
+            words = part[d][max(0, first - len(item)) : first + 2 * HALF + len(item)]
+            words = words[words > 0].tolist()
+            share = lcs(item, words) / len(item)
+            if share < model.common:
+                continue
+            end = item[-max(1, len(item) // 4) :]
+            ending = lcs(end, words) / len(end)
+            if ending >= model.answer:
+                cosine = float(w[half] @ model.vectors[i] / size[half]) if size[half] > 0 else 0.0
+                out[lo + d].append((int(i), cosine, share, ending, first))
     best = []
     for found in out:
         top: dict[int, tuple] = {}
@@ -194,9 +250,10 @@ def _seqs(b: pa.RecordBatch, first: int, n: int, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(v.as_buffer(), dtype=kind) for v in b.column("x").slice(first, n)]
 
 
-def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank: int = 64, frequent: float = 0.005, rarest: int = 8, cosine: float = 0.5, common: float = 0.6, answer: float = 0.5) -> Model:
+def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank: int = 128, frequent: float = 0.02, rarest: int = 8, cosine: float = 0.4, common: float = 0.6, answer: float = 0.5) -> Model:
     """The latent space of the passages of ``coded`` (x: word ids as binary) and of the block's items. Words in more
-    than the share ``frequent`` of the passages have no weight, but for the ``rarest`` words of each item."""
+    than the share ``frequent`` of the passages have no weight, but for the ``rarest`` words of each item. Items
+    shorter than half a passage are looked for by their rarest words, not by cosine."""
     m = len(vocabulary) + 1
     kind = code_type(m)
     flat = np.ones(m)
@@ -258,7 +315,12 @@ def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank
     q = np.linalg.qr(y)[0]
     vectors = a @ q
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    return Model(vocabulary, (weight[:, None] * q).astype(np.float32), weight, vectors.astype(np.float32), codes, [i for i, _ in block], cosine, common, answer)
+    exact = np.array([len(c) < HALF for c in codes])
+    keyed = {i: rare_keys(codes[i], df, common, frequent * total) for i in np.flatnonzero(exact).tolist()}
+    keys = np.array([(w, i) for i, (ws, _) in keyed.items() for w in ws], dtype=np.int64).reshape(-1, 2)
+    keys = keys[np.argsort(keys[:, 0], kind="stable")]
+    least = np.array([keyed[i][1] if i in keyed else 0 for i in range(len(codes))])
+    return Model(vocabulary, (weight[:, None] * q).astype(np.float32), weight, vectors.astype(np.float32), codes, [i for i, _ in block], cosine, common, answer, exact, keys[:, 0], keys[:, 1], least)
 
 
 def _coded(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:

@@ -57,6 +57,31 @@ def test_op2_paraphrases_and_clean_texts(spark):
     assert left.columns == dd.columns and {r["doc_id"] for r in left.collect()} == set(range(300)) - {d for d, _ in got}
 
 
+def test_op2_short_items_in_long_texts(spark):
+    """Against a search of every place: short items, with and without replaced words, amid over 300 other words."""
+    rnd = random.Random(6)
+    vocab = [f"w{i}" for i in range(3000)]
+    pick = lambda n: rnd.choices(vocab, [1 / (i + 3) for i in range(3000)], k=n)
+    items = {i: pick((6, 10, 15)[i % 3]) for i in range(60)}
+    docs = {}
+    for d in range(300):
+        w = pick(330)
+        w[160:160] = [rnd.choice(vocab) if rnd.random() < (0, 0.2, 0.35)[d // 60 % 3] else x for x in items[d % 60]]
+        docs[d] = w
+    want = set()
+    for d, w in docs.items():
+        for i, t in items.items():
+            end = t[-max(1, len(t) // 4) :]
+            for first in range(0, len(w), decontaminate.HALF):
+                around = w[max(0, first - len(t)) : first + 2 * decontaminate.HALF + len(t)]
+                if decontaminate.lcs(t, around) >= 0.6 * len(t) and decontaminate.lcs(end, around) >= 0.5 * len(end):
+                    want.add((d, i))
+                    break
+    dd = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id bigint, text string")
+    it = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id bigint, text string")
+    assert len(want) > 200 and {(r["doc_id"], r["item_id"]) for r in decontaminate.search(dd, it).collect()} == want
+
+
 def test_op2_odd(spark, odd, no_docs):
     items = spark.createDataFrame([(1, "same text here again"), (2, None), (3, "")], "item_id bigint, text string")
     got = decontaminate.search(odd, items).collect()
