@@ -253,7 +253,7 @@ def _seqs(b: pa.RecordBatch, first: int, n: int, kind: str) -> list[np.ndarray]:
 def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank: int = 128, frequent: float = 0.02, rarest: int = 8, cosine: float = 0.4, common: float = 0.6, answer: float = 0.5) -> Model:
     """The latent space of the passages of ``coded`` (x: word ids as binary) and of the block's items. Words in more
     than the share ``frequent`` of the passages have no weight, but for the ``rarest`` words of each item. Items
-    shorter than half a passage are looked for by their rarest words, not by cosine."""
+    shorter than half a passage, or without a vector, are looked for by their rarest words, not by cosine."""
     m = len(vocabulary) + 1
     kind = code_type(m)
     flat = np.ones(m)
@@ -280,10 +280,9 @@ def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank
     weight = np.log((1 + total) / (1 + df))
     codes = [[vocabulary[w] for w in words] for _, words in block]
     own = {w for c in codes for w in sorted(set(c), key=lambda w: df[w])[:rarest]}
-    often = df > frequent * total
-    often[list(own)] = False
+    often = df > min(frequent, 0.25) * total
+    often[list(own)] = False  # however many passages hold the item, some of its words keep a weight
     weight[often] = 0
-    weight[df > 0.25 * total] = 0
     weight[0] = 0
     if not weight[1:].any():  # a corpus this small has no rare words: all count alike
         weight[1:] = 1
@@ -314,8 +313,9 @@ def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank
     y = y / max(np.linalg.norm(y), 1e-9) + ground / max(np.linalg.norm(ground), 1e-9)
     q = np.linalg.qr(y)[0]
     vectors = a @ q
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    exact = np.array([len(c) < HALF for c in codes])
+    length = np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors /= np.maximum(length, 1e-9)
+    exact = np.array([len(c) < HALF for c in codes]) | (length[:, 0] < 1e-9)
     keyed = {i: rare_keys(codes[i], df, common, frequent * total) for i in np.flatnonzero(exact).tolist()}
     keys = np.array([(w, i) for i, (ws, _) in keyed.items() for w in ws], dtype=np.int64).reshape(-1, 2)
     keys = keys[np.argsort(keys[:, 0], kind="stable")]

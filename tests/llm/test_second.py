@@ -82,6 +82,17 @@ def test_op2_short_items_in_long_texts(spark):
     assert len(want) > 200 and {(r["doc_id"], r["item_id"]) for r in decontaminate.search(dd, it).collect()} == want
 
 
+@pytest.mark.parametrize("size", [16, 30])
+def test_op2_item_that_most_passages_hold(spark, size):
+    """Copies of an item are more than a quarter of all half-passages: each of its words is frequent."""
+    rnd = random.Random(size)
+    item = [f"i{k}" for k in range(size)]
+    docs = [(d, " ".join(item if d < 45 else [f"w{rnd.randrange(900)}" for _ in range(22)])) for d in range(100)]
+    dd = spark.createDataFrame(docs, "doc_id bigint, text string")
+    it = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(f"w{k}" for k in range(40)))], "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.search(dd, it).collect()} == {(d, 1) for d in range(45)}
+
+
 def test_op2_odd(spark, odd, no_docs):
     items = spark.createDataFrame([(1, "same text here again"), (2, None), (3, "")], "item_id bigint, text string")
     got = decontaminate.search(odd, items).collect()
