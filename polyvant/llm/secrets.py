@@ -103,11 +103,16 @@ def linked(found: DataFrame, scope: int = 256) -> DataFrame:
     buckets = lambda lo, hi: F.explode(F.sequence(F.floor(lo / scope), F.floor(hi / scope)))
 
     def near(left: DataFrame, right: DataFrame, how: str, gap: int) -> DataFrame:
-        """The rows of ``left`` with (semi) or without (anti) a span of ``right`` within ``gap``. A span is dealt
-        to each bucket that it, widened by the gap, touches on the left; to its own buckets on the right."""
+        """The rows of ``left`` with a span of ``right`` within ``gap`` (semi), or without one that contains them
+        (anti). A span is dealt to each bucket that it, widened by the gap, touches on the left; to its own buckets
+        on the right."""
         r = right.select("_n", "_h", F.col("s").alias("rs"), F.col("e").alias("re"), buckets(F.col("s"), F.col("e")).alias("_b")).distinct()
         wide = left.withColumn("_b", buckets(F.greatest(F.col("s") - gap, F.lit(0)), F.col("e") + gap))
-        hit = wide.join(r, (wide["_n"] == r["_n"]) & (wide["_h"] == r["_h"]) & (wide["_b"] == r["_b"]) & (r["rs"] <= wide["e"] + gap) & (r["re"] >= wide["s"] - gap) & ~((r["rs"] == wide["s"]) & (r["re"] == wide["e"])), "left_semi").drop("_b").distinct()
+        if how == "anti":
+            place = (r["rs"] <= wide["s"]) & (r["re"] >= wide["e"])
+        else:
+            place = (r["rs"] <= wide["e"] + gap) & (r["re"] >= wide["s"] - gap) & ~((r["rs"] == wide["s"]) & (r["re"] == wide["e"]))
+        hit = wide.join(r, (wide["_n"] == r["_n"]) & (wide["_h"] == r["_h"]) & (wide["_b"] == r["_b"]) & place, "left_semi").drop("_b").distinct()
         return hit if how == "semi" else left.join(hit, ["_n", "_h", "s", "e", "k"], "left_anti")
 
     free = cut(near(weak, base, "anti", 0), "weak")

@@ -159,6 +159,15 @@ def test_op5_links(spark):
     assert got == {1: 3, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1}
 
 
+def test_op5_url_with_its_own_credentials(spark):
+    url = "https://api.example.com/v1?user=alice42&token=abcdefgh12345"
+    rows = [(1, f"see {url} there"), (2, url.replace("user=alice42&", ""))]
+    got = {r["doc_id"]: r for r in secrets.report(secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect()}
+    assert got[1]["spans"] == f"endpoint:4:{4 + len(url)},user:31:43,assign:44:63" and got[1]["n_linked"] == 2
+    assert got[2]["n_linked"] == 0
+    assert [r["text"] for r in secrets.redact(spark.createDataFrame(rows[:1], "doc_id bigint, text string")).collect()] == ["see [redacted] there"]
+
+
 def test_op5_odd(odd, no_docs):
     rows = secrets.report(secrets.scan(odd)).collect()
     assert len(rows) == odd.count()
