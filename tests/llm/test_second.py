@@ -217,6 +217,19 @@ def test_op4_odd(odd, no_docs):
     assert hmm.score(odd, F.lit(False)).count() == odd.count()
 
 
+def test_op4_start_covers_long_texts(spark):
+    texts = [np.arange(n, dtype="<u2") for n in (0, 1, 4096, 4097, 60000)]
+    d = spark.createDataFrame([(k, bytearray(t.tobytes())) for k, t in enumerate(texts)], "k int, x binary")
+    for r in d.select("k", F.expr(hmm.START).alias("parts")).collect():
+        t, parts = texts[r["k"]], [np.frombuffer(p, "<u2") for p in r["parts"]]
+        if len(t) <= 4096:
+            assert len(parts) == 1 and (parts[0] == t).all()
+        else:
+            assert [len(p) for p in parts] == [512] * 8 and parts[0][0] == 0 and parts[-1][-1] == t[-1]
+            assert {int(b[0]) - int(a[0]) for a, b in zip(parts, parts[1:])} <= {(len(t) - 512) // 7, (len(t) - 512) // 7 + 1}
+            assert all((np.diff(p) == 1).all() for p in parts)
+
+
 # ---- token packing
 
 
