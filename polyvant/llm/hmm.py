@@ -21,10 +21,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, cut, lower_words
+from .common import crc_mod, cut, lower_words, scoped
 
 STEP = 64
 TAILS = 4096
@@ -198,15 +199,20 @@ def maximise(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, share: np
     return Model(pi / pi.sum(), a / a.sum(axis=1, keepdims=True), b / b.sum(axis=0, keepdims=True))
 
 
-def initial(seqs: list[np.ndarray], share: np.ndarray, states: int, rounds: int = 12) -> Model:
-    """A starting point from a bounded sample: spread-out texts seed the states, then Baum-Welch on the sample."""
+def initial(seqs: list[np.ndarray], share: np.ndarray, states: int, rounds: int = 12, starts: int = 3) -> Model:
+    """A starting point from a bounded sample: spread-out texts seed the states, then Baum-Welch on the sample. Of
+    ``starts`` such points, one that the sample is likeliest under."""
+    return max((_start(seqs, share, states, rounds, seed) for seed in range(5, 5 + starts)), key=lambda x: x[0])[1]
+
+
+def _start(seqs: list[np.ndarray], share: np.ndarray, states: int, rounds: int, seed: int) -> tuple[float, Model]:
     n = len(share)
-    rng = np.random.default_rng(5)
+    rng = np.random.default_rng(seed)
     hist = [np.sqrt(np.bincount(s, minlength=n) / max(len(s), 1)) for s in seqs if len(s) > 30][:400]
     seeds = [np.sqrt(share)]
     while hist and len(seeds) < states:
         far = np.max([[h @ x for h in hist] for x in seeds], axis=0)
-        seeds.append(hist[int(np.argmin(far + 1e-3 * rng.random(len(far))))])
+        seeds.append(hist[int(np.argmin(far + 0.05 * rng.random(len(far))))])
     while len(seeds) < states:
         seeds.append(np.sqrt(share))
     b = np.stack([0.5 * x**2 + 0.5 * share for x in seeds], axis=1) * rng.uniform(0.8, 1.2, (n, states)) + 1e-9
@@ -214,7 +220,7 @@ def initial(seqs: list[np.ndarray], share: np.ndarray, states: int, rounds: int
     model = Model(np.full(states, 1 / states), a / a.sum(axis=1, keepdims=True), b / b.sum(axis=0, keepdims=True))
     for _ in range(rounds):
         model = maximise(*expected_counts(seqs, model), share)
-    return model
+    return float(log_likelihood(seqs, model).sum()), model
 
 
 # ---- the corpus
@@ -243,6 +249,18 @@ def word_counts(docs: DataFrame, held: int = 500_000) -> DataFrame:
     return cut(docs.select("text").mapInArrow(run, "h bigint, tail int, c bigint").groupBy("h").agg(F.first("tail").alias("tail"), F.sum("c").alias("c")), "counts")
 
 
+def slices(texts: pa.Array, rows: int = 512, size: int = 1 << 27) -> Iterator[tuple[int, int]]:
+    """(first, last) of neighbouring texts: ``rows`` or fewer, and about ``size`` bytes or one text."""
+    first = held = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > first and (i - first == rows or held + n > size):
+            yield first, i
+            first, held = i, 0
+        held += n
+    if first < len(texts):
+        yield first, len(texts)
+
+
 class Words(dict):
     """What is known of each word, as rows of arrays: its class, log10(c + 1) for a common word, its share of a
     class with others, and its hash if it is not common. Words met before are kept, up to a bound."""
@@ -290,12 +308,14 @@ def most_frequent(counts: DataFrame, n: int) -> list:
     return counts.where(step >= least).orderBy(F.desc("c"), "h").limit(n).collect()
 
 
+@scoped
 def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", states: int = 6, own_classes: int = 8192, common: int = 65536, passes: int = 2, sample: int = 400) -> DataFrame:
     """doc_id, trained, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
 
     ``trains``: which rows (over doc_id) the model learns from. ``passes``: Baum-Welch over all of those, after
-    a start from about ``sample`` of them: whole up to 4,096 tokens, and eight stretches of 512 spread from the first
-    to the last token of longer ones. Null texts are empty: their one token is the end. Null ids keep
+    a start from about ``sample`` different ones of them: whole up to 4,096 tokens, and eight stretches of 512 spread
+    from the first to the last token of longer ones. Which ones depends on the texts alone, so equal rows in another
+    order, or in other files, get equal scores. Null texts are empty: their one token is the end. Null ids keep
     their row; repeated rows each get the same score; an empty table gives no rows; without training rows
     every word is unknown and the tables are uniform. Other columns are not read."""
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -324,8 +344,8 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(*tables.value, own_classes)
         for b in batches:
-            for first in range(0, b.num_rows, 512):
-                part = b.slice(first, 512)
+            for first, last in slices(b.column("text")):
+                part = b.slice(first, last - first)
                 texts = [[*lower_words(t.as_py()), END] for t in part.column("text")]
                 n = np.array([len(t) for t in texts])
                 i = words.ids(texts, int(n.sum()))
@@ -340,9 +360,10 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
 
     coded = src.mapInArrow(encode, f"doc_id {kind}, trained boolean, x binary, n_tokens bigint, n_common bigint, up double, part double, rest array<bigint>")
     coded = cut(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
-    size, fits = own_classes + TAILS, coded.where("trained").select("row", "x")
+    size, fits = own_classes + TAILS, coded.where("trained").select("x")
     n_fit = max(1, fits.count())
-    few = fits.where(F.pmod(F.xxhash64("row"), F.lit(1_000_000)) < min(1_000_000, int(sample / n_fit * 1e6) + 1)).orderBy(F.xxhash64("row")).limit(sample)
+    k = F.xxhash64("x")  # the content: a row's number follows the files
+    few = fits.where(F.pmod(k, F.lit(1_000_000)) < min(1_000_000, int(2 * sample / n_fit * 1e6) + 1)).groupBy(k.alias("k")).agg(F.min("x").alias("x")).orderBy("k").limit(sample)
     seqs = [np.frombuffer(r["x"], "<u2").astype(np.int32) for r in few.select(F.explode(F.expr(START)).alias("x")).collect()]  # a bounded start for the fit
     model = initial(seqs, share, states)
 
@@ -360,7 +381,7 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], ["i", "v"])
 
         flat = np.zeros(states + states * states + size * states)
-        for r in fits.select("x").mapInArrow(count, "i bigint, v double").groupBy("i").agg(F.sum("v").alias("v")).toLocalIterator():  # the model's size
+        for r in fits.mapInArrow(count, "i bigint, v double").groupBy("i").agg(F.sum("v").alias("v")).toLocalIterator():  # the model's size
             flat[r["i"]] = r["v"]
         model = maximise(flat[:states], flat[states : states + states**2].reshape(states, states), flat[states + states**2 :].reshape(size, states), share)
 
