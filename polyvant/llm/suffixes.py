@@ -8,6 +8,10 @@ the left. Where neighbours leave words of a suffix open, its 50-word windows are
 gram, so the result is exact: a word is covered if, and only if, it lies in a passage of ``least`` words
 that occurs elsewhere.
 
+Sorting and extension read 16 bits of each word around a suffix. Words that differ can agree in those, so no span
+is taken from them alone: its first and its last window of ``least`` words, which together cover it, have to be
+equal in hashes of whole words too, and a span whose end fails is cut back until they are.
+
 A run that is too long for one task (a passage that many texts share) is not sorted: its windows are dealt by
 their own hash and counted, which Spark combines before the shuffle.
 """
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, scoped
 
 GRAM = 16
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -100,8 +104,17 @@ def _windows(left: np.ndarray, right: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
-def compare(g: np.ndarray, key: np.ndarray, pos: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, start, end) of repeated passages among suffixes, whole runs of ``g``, sorted by (g, right)."""
+def around_hashes(h: np.ndarray, p: np.ndarray, window: int, least: int) -> np.ndarray:
+    """32 bits of the hash of each window of ``least`` words that starts 0 to ``window - 1`` words before each
+    position of ``p``, the furthest first; 0 for a window that the text does not hold."""
+    w = (gram_hashes(h, least) >> np.uint64(32)).astype("<u4") | np.uint32(1)
+    padded = np.concatenate([np.zeros(window - 1, "<u4"), w, np.zeros(least, "<u4")])
+    return padded[p[:, None] + np.arange(window)]
+
+
+def compare(g: np.ndarray, key: np.ndarray, pos: np.ndarray, left: np.ndarray, right: np.ndarray, own: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, start, end) of repeated passages among suffixes, whole runs of ``g``, sorted by (g, right). ``own``:
+    ``around_hashes`` of each."""
     none = (np.zeros(0, np.int64),) * 3
     if len(g) < 2:
         return none
@@ -109,7 +122,15 @@ def compare(g: np.ndarray, key: np.ndarray, pos: np.ndarray, left: np.ndarray, r
     same = g[1:] == g[:-1]
     r = np.where(same, (np.cumprod((right[1:] == right[:-1]) & (right[1:] > 0), axis=1)).sum(axis=1), 0)
     lf = np.where(same, (np.cumprod((left[1:] == left[:-1]) & (left[1:] > 0), axis=1)).sum(axis=1), 0)
-    hit = np.flatnonzero(r + lf >= least)
+    back = left.shape[1]
+    while True:  # an end whose window differs agreed in 16 bits only
+        hit = np.flatnonzero(r + lf >= least)
+        bad_start = own[hit, back - lf[hit]] != own[hit + 1, back - lf[hit]]
+        bad_end = own[hit, back + r[hit] - least] != own[hit + 1, back + r[hit] - least]
+        if not (bad_start.any() or bad_end.any()):
+            break
+        lf[hit[bad_start]] -= 1
+        r[hit[bad_end]] -= 1
     for i in (hit, hit + 1):
         found.append((key[i], pos[i] - lf[hit], pos[i] + r[hit]))
     # words around a suffix that a window of its run may still cover
@@ -125,7 +146,7 @@ def compare(g: np.ndarray, key: np.ndarray, pos: np.ndarray, left: np.ndarray, r
     if len(rows):
         h = _windows(left[rows], right[rows], least)
         with np.errstate(over="ignore"):
-            tag = np.where(h == 0, 0, _mix(h ^ _mix(run[rows].astype(np.uint64) + np.uint64(1))[:, None]))
+            tag = np.where(h == 0, 0, _mix(h ^ _mix(run[rows].astype(np.uint64) + np.uint64(1))[:, None] ^ own[rows].astype(np.uint64) << np.uint64(32)))
         _, inverse, count = np.unique(tag, return_inverse=True, return_counts=True)
         i, off = np.nonzero((count[inverse.reshape(tag.shape)] > 1) & (h != 0))
         t, k, at = tag[i, off], key[rows[i]], pos[rows[i]] - left.shape[1] + off
@@ -139,7 +160,8 @@ def compare(g: np.ndarray, key: np.ndarray, pos: np.ndarray, left: np.ndarray, r
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col: str = "text", long_run: int = 20_000) -> DataFrame:
+@scoped
+def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col: str = "text", long_run: int = 2_000) -> DataFrame:
     """(doc_id, n_words, n_repeated, spans): a row for each row of ``docs`` with words that lie in a passage of
     ``least`` or more words which occurs more than once in the table, in other texts or in the same one. Spans are
     word positions, ends exclusive, and do not touch.
@@ -170,36 +192,38 @@ def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col:
     # stored, so that both sides of the join are dealt for it alone and a gram that many texts share can be split
     often = cut(suffixes.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "often")
     kept = suffixes.join(often, "g").groupBy("key").agg(F.collect_list(F.struct("p", "g", (F.col("k") > long_run).alias("hot"))).alias("s"))  # as long as a text
-    first = src.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"))).alias("f")).select("key", F.col("f.b").alias("only"))
-    kept = kept.join(first, "key")
-    around = src.join(kept, "key").where(F.col("doc_id").eqNullSafe(F.col("only"))).select("key", "text", "s")
+    # tasks drop copies of a text before they deal it
+    around = src.groupBy("key").agg(F.first("text").alias("text")).join(kept, "key")
 
     def context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The words on either side of each kept suffix, 16 bits a word, or the windows of a long run."""
+        """The words on either side of each kept suffix, 16 bits a word, and the hashes of its windows; or, for a long
+        run, whole hashes of the windows alone."""
         hasher = Hasher()
         for b in batches:
             for i in range(0, b.num_rows, 64):
                 out: list[tuple] = []
                 for key, t, s in zip(b.column("key").slice(i, 64).to_pylist(), b.column("text").slice(i, 64), b.column("s").slice(i, 64).to_pylist()):
                     h = hasher(t.as_py())
+                    at = np.array([x["p"] for x in s], dtype=np.int64)
+                    own32 = around_hashes(h, at, window, least)
                     w = np.concatenate([np.zeros(window, np.uint16), ((h >> np.uint64(40)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16), np.zeros(least, np.uint16)])
-                    for x in s:
+                    for k, x in enumerate(s):
                         p = x["p"] + window
                         if x["hot"]:
                             own = np.arange(max(0, x["p"] - window + 1), min(x["p"], len(h) - least) + 1)
-                            out.append((x["g"], key, x["p"], None, None, gram_hashes(h[own[0] : own[-1] + least], least).view(np.int64).tolist() if len(own) else []))
+                            out.append((x["g"], key, x["p"], None, None, None, gram_hashes(h[own[0] : own[-1] + least], least).view(np.int64).tolist() if len(own) else []))
                         else:
-                            out.append((x["g"], key, x["p"], w[p - window + 1 : p][::-1].astype(">u2").tobytes(), w[p : p + least].astype(">u2").tobytes(), None))
-                cols = list(zip(*out)) or [()] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.list_(pa.int64()))], ["g", "key", "p", "l", "r", "w"])
+                            out.append((x["g"], key, x["p"], w[p - window + 1 : p][::-1].astype(">u2").tobytes(), w[p : p + least].astype(">u2").tobytes(), own32[k].tobytes(), None))
+                cols = list(zip(*out)) or [()] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.binary()), pa.array(cols[6], pa.list_(pa.int64()))], ["g", "key", "p", "l", "r", "own", "w"])
 
-    ctx = cut(around.mapInArrow(context, "g bigint, key bigint, p int, l binary, r binary, w array<bigint>").dropDuplicates(["key", "p"]), "contexts")
-    in_order = ctx.where("l is not null").select("g", "key", "p", "l", "r").repartition("g").sortWithinPartitions("g", "r", "key", "p")
+    ctx = cut(around.mapInArrow(context, "g bigint, key bigint, p int, l binary, r binary, own binary, w array<bigint>"), "contexts")
+    in_order = ctx.where("l is not null").select("g", "key", "p", "l", "r", "own").repartition("g").sortWithinPartitions("g", "r", "key", "p")
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(t: pa.Table) -> pa.RecordBatch:
             words = lambda n, k: np.frombuffer(b"".join(t.column(n).to_pylist()), dtype=">u2").reshape(-1, k).astype(np.uint16)
-            k, s, e = compare(t.column("g").to_numpy(), t.column("key").to_numpy(), t.column("p").to_numpy().astype(np.int64), words("l", window - 1), words("r", least), least)
+            k, s, e = compare(t.column("g").to_numpy(), t.column("key").to_numpy(), t.column("p").to_numpy().astype(np.int64), words("l", window - 1), words("r", least), np.frombuffer(b"".join(t.column("own").to_pylist()), dtype="<u4").reshape(-1, window), least)
             return pa.RecordBatch.from_arrays([pa.array(k), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], ["key", "s", "e"])
 
         held: list[pa.RecordBatch] = []
