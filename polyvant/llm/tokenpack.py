@@ -71,7 +71,7 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return rows
 
 
-SCHEMA = "input_ids binary, n_tokens int, cu_seqlens array<int>, position_ids binary, doc_ids array<bigint>, pieces array<int>, starts array<bigint>"
+SCHEMA = "input_ids binary, n_tokens int, cu_seqlens array<int>, position_ids binary, doc_ids array<{}>, pieces array<int>, starts array<bigint>"
 
 
 def pack_ids(docs: DataFrame, vocabulary: str | None = None, width: int = 2048, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, buffer_tokens: int = 4_000_000) -> DataFrame:
@@ -81,12 +81,14 @@ def pack_ids(docs: DataFrame, vocabulary: str | None = None, width: int = 2048,
     piece and start.
 
     Null and empty texts are one end id; null ids stay null; repeated rows are packed each; an empty table
-    gives no rows; other columns are not read. A buffer holds ``buffer_tokens`` at most, and one document."""
+    gives no rows; ids keep their type; other columns are not read. A buffer holds ``buffer_tokens`` at most, and one document."""
     vocabulary = vocabulary or default_vocabulary()
-    src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    spec = SCHEMA.format(src.schema["doc_id"].dataType.simpleString())
+    names = [c.split(" ")[0] for c in SCHEMA.split(", ")]
     end = end_id.to_bytes(4, "little")
 
-    def packed(buffer: list[tuple[int | None, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    def packed(buffer: list[tuple[pa.Scalar, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
         rows = best_fit_decreasing([len(p[3]) // 4 for p in buffer], width)
         count = np.arange(width, dtype="<u4")
         for k in range(0, len(rows), 512):
@@ -98,19 +100,19 @@ def pack_ids(docs: DataFrame, vocabulary: str | None = None, width: int = 2048,
                 positions = np.zeros(width, dtype="<u4")
                 for a, b in zip(ends, ends[1:]):
                     positions[a:b] = count[: b - a]
-                out.append((ids + end * (width - ends[-1]), int(ends[-1]), ends.tolist(), positions.tobytes(), [p[0] for p in parts], [p[1] for p in parts], [p[2] for p in parts]))
-            kinds = (pa.binary(), pa.int32(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], [c.split(" ")[0] for c in SCHEMA.split(", ")])
+                out.append((ids + end * (width - ends[-1]), int(ends[-1]), ends.tolist(), positions.tobytes(), [p[0].as_py() for p in parts], [p[1] for p in parts], [p[2] for p in parts]))
+            kinds = (pa.binary(), pa.int32(), pa.list_(pa.int32()), pa.binary(), pa.list_(buffer[0][0].type), pa.list_(pa.int32()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        buffer: list[tuple[int | None, int, int, bytes]] = []
+        buffer: list[tuple[pa.Scalar, int, int, bytes]] = []
         held = 0
         for b in batches:
             for doc, ids in zip(b.column("doc_id"), encoder.encode(b.column("text"))):
                 ids += end
                 for k, start in enumerate(range(0, len(ids) // 4, width)):
-                    buffer.append((doc.as_py(), k, start, ids[4 * start : 4 * (start + width)]))
+                    buffer.append((doc, k, start, ids[4 * start : 4 * (start + width)]))
                 held += len(ids) // 4
                 if held >= buffer_tokens:
                     yield from packed(buffer)
@@ -118,7 +120,7 @@ def pack_ids(docs: DataFrame, vocabulary: str | None = None, width: int = 2048,
         if buffer:
             yield from packed(buffer)
 
-    return src.mapInArrow(run, SCHEMA)
+    return src.mapInArrow(run, spec)
 
 
 def write(packed: DataFrame, path: str) -> None:
