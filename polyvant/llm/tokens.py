@@ -22,14 +22,15 @@ class Encoder:
 
     Merges never cross a pre-token, so a text's ids are those of its pre-tokens, joined. New pre-tokens are
     encoded together and told apart by their last token's end mark. Texts beyond Latin letters go to the
-    tokenizer whole. Strings of special tokens in a text are ordinary text."""
+    tokenizer whole, and so do texts with the string of a special token, which it turns into that token."""
 
     def __init__(self, vocabulary: str, cached: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)", re.IGNORECASE)
         self.cached = cached
         self.known: dict[str, bytes] = {}
         names = self.tokenizer.get_vocab()
@@ -53,7 +54,7 @@ class Encoder:
             docs: list[list[str]] = []
             for k, t in enumerate(texts.slice(i, step)):
                 t = t.as_py() or ""
-                if _OTHER.search(t):
+                if _OTHER.search(t) or self.special.search(t):
                     whole[k] = t
                     t = ""
                 docs.append(_PRE_TOKEN.findall(t.lower()))
