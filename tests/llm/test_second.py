@@ -230,6 +230,42 @@ def test_op4_start_covers_long_texts(spark):
             assert all((np.diff(p) == 1).all() for p in parts)
 
 
+def test_op4_same_scores_in_any_layout(spark, texts):
+    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    a, b = ({r["doc_id"]: r["score"] for r in hmm.score_documents(x).collect()} for x in (d.repartition(3, "doc_id"), d.repartition(5, "text")))
+    assert a.keys() == b.keys() and all(abs(a[i] - b[i]) <= 1e-9 * max(1, abs(a[i])) for i in a)
+
+
+def test_op4_one_state_by_hand(spark, texts):
+    """With one state, the fit has a closed form: the classes' smoothed shares. Words of tail classes share these."""
+    few = dict(sorted(texts.items())[:40])
+    own, common = 50, 200
+    d = spark.createDataFrame(list(few.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in hmm.score(d, F.col("doc_id") % 3 != 0, states=1, own_classes=own, common=common).collect()}
+    tokens = {i: [*t.encode().lower().split(), hmm.END] for i, t in few.items()}
+    c = Counter(w for i, ws in tokens.items() if i % 3 for w in ws)
+    top = sorted(c, key=lambda w: (-c[w], hmm.word_key(w)))[:own]
+    mass, held = (Counter({t: 1 for t in range(hmm.TAILS)}) for _ in range(2))
+    for w in set(c).difference(top):
+        mass[hmm.tail_class(w)] += c[w] + 1
+        held[hmm.tail_class(w)] += c[w]
+    total = sum(c[w] for w in top) + sum(held.values())
+    share = {w: c[w] / total for w in top} | {t: n / total for t, n in held.items()}
+    used = Counter(w if w in top else hmm.tail_class(w) for i, ws in tokens.items() if i % 3 for w in ws)
+    b = {k: used[k] + 50 * share[k] + 1e-3 for k in share}
+    z = sum(b.values())
+    for i, ws in tokens.items():
+        want = sum(math.log10(b[w] / z) if w in top else math.log10(b[hmm.tail_class(w)] / z) + math.log10((c[w] + 1) / mass[hmm.tail_class(w)]) for w in ws)
+        assert abs(got[i] - want) < 1e-6 * max(1, abs(want))
+
+
+def test_op4_slices():
+    import pyarrow as pa
+
+    x = pa.array(["a" * n if n >= 0 else None for n in (3, -1, 9, 1, 1, 1, 20, 2)])
+    assert list(hmm.slices(x, 3, 10)) == [(0, 2), (2, 4), (4, 6), (6, 7), (7, 8)] and list(hmm.slices(x[:0])) == []
+
+
 # ---- token packing
 
 
@@ -376,6 +412,28 @@ def passages():
     return [*rows, (1000, None), (1001, ""), (1002, rows[5][1]), (1003, "a " * 200), (1004, "a " * 30), (1005, "x " * 28 + "y " * 29 + "z " * 40)]
 
 
+@pytest.mark.parametrize("long_run", [20_000, 1])
+def test_op10_words_that_agree_in_16_bits(spark, long_run):
+    """Passages of 49 equal words whose neighbours agree in the 16 bits that extension reads; and of 50 and 51."""
+    h, by = suffixes.Hasher(), defaultdict(list)
+    for i in range(3000):
+        w = f"z{i}"
+        by[int((h(w)[0] >> np.uint64(40)) % np.uint64(65535))].append(w)
+    twins = [v for v in by.values() if len(v) > 1]
+    assert len(twins) > 20
+    rows, rnd = [], random.Random(4)
+    for n in (48, 49, 50, 51):
+        for k, (a, b, *_) in enumerate(twins[:20]):
+            passage = [f"p{n}x{k}x{i}" for i in range(n)]
+            for side, w in enumerate((a, b)):
+                fill = [f"f{n}x{k}x{side}x{i}" for i in range(40)]
+                rows.append((len(rows), " ".join([*fill, *([w] if k % 3 else []), *passage, *([w] if k % 3 < 2 else []), *reversed(fill)])))
+            if k % 4 == 0:  # runs of more than two
+                rows.append((len(rows), " ".join([*passage[: rnd.randint(20, n)], "end"])))
+    want = _covered(rows)
+    assert len(want) == 80 and _got(spark.createDataFrame(rows, "doc_id bigint, text string"), long_run=long_run) == want
+
+
 @pytest.mark.parametrize("long_run", [20_000, 1])
 def test_op10_exact(spark, passages, long_run):
     assert _got(spark.createDataFrame(passages, "doc_id bigint, text string"), long_run=long_run) == _covered(passages)
