@@ -1,5 +1,6 @@
 """A quality classifier without labels: overlapping heuristics vote, expectation-maximisation estimates how far
-each can be trusted, and the posterior trains a hashed linear scorer.
+each can be trusted, and the posterior trains a hashed linear scorer of words and shape, which so learns what the
+labellers do not look at.
 
 Votes are one bounded code for each document, so EM runs over the counts of the codes (at most 3 to the power
 of the number of labellers), which cover every document.
@@ -16,14 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, cut
+from . import linear
+from .common import bounded_sample, cut, scoped
 
 #: Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = frozenset("the of and to in is that it for on was as with be by are this at from or an a der die und das den des mit ist von für auf dem sich nicht ein eine auch zu le la les et des un une que pour dans est sur par avec qui du de el los las y en una por con se del al lo como más".encode().split())
 SYMBOLS = b"#*$%&|<>"
 _MARKS = re.compile(rb"[!?]{2,}")
 GOOD, BAD, NONE = 1, 0, 2
-BUCKETS = 1 << 14
+#: Buckets of words, then of the shape of a text.
+WORDS, SHAPES = 60_000, 5_000
 
 
 def measures(text: str | None) -> dict[str, float]:
@@ -97,57 +100,63 @@ def estimate(codes: dict[int, int], false_alarms: float = 0.02, steps: int = 100
     return p, dict(zip(codes, post[:, 0].tolist()))
 
 
+class Buckets(dict):
+    """Buckets of lower-cased words, kept up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 400_000:
+            self.clear()
+        b = self[word] = zlib.crc32(word.strip(b".,;:!?")) % WORDS
+        return b
+
+    def of(self, text: str | None, m: dict[str, float]) -> bytes:
+        """The features of a text: its different words and its shape, as little-endian unsigned 16-bit numbers."""
+        words = np.fromiter(map(self.__getitem__, set((text or "").encode().lower().split())), dtype="<u2")
+        return np.unique(np.concatenate([words, np.array(shape_features(m), dtype="<u2")])).tobytes()
+
+
 def shape_features(m: dict[str, float]) -> list[int]:
-    """Hashed features of a text: each measure in steps, so that a linear score can bend."""
+    """Hashed features of a text's measures, each in steps, so that a linear score can bend."""
     cut = {k: min(20, int(v * 20)) for k, v in m.items() if k not in ("n", "length")} | {"n": int(np.log2(m["n"] + 1)), "length": min(24, int(m["length"] * 2))}
-    return [zlib.crc32(f"{k}:{v}".encode()) % BUCKETS for k, v in cut.items()]
+    return [WORDS + zlib.crc32(f"{k}:{v}".encode()) % SHAPES for k, v in cut.items()]
 
 
+@scoped
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 20000, threshold: float = 0.5) -> DataFrame:
     """doc_id, votes (one digit for each labeller: 0 bad, 1 good, 2 none), posterior, score, kept, for each row.
 
-    A row is kept unless its posterior and its score both speak against it. EM covers every row; the scorer is fitted on at most about ``max_rows`` posteriors, chosen by a hash of the
-    row's features. Null and wordless texts get no votes and the prior as posterior; null ids keep their row;
-    repeated rows get equal results; an empty table gives no rows; other columns are not read."""
+    A row is kept unless its posterior and its score both speak against it. EM covers every row; the scorer is
+    fitted on at most about ``max_rows`` posteriors, chosen by a hash of the row's id and features. Null and wordless
+    texts get no votes and the prior as posterior; null ids keep their row; repeated rows get equal results; an empty
+    table gives no rows; very long texts are read whole; other columns are not read."""
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = Buckets()
         for b in batches:
-            ms = [measures(t.as_py()) for t in b.column("text")]
-            codes = [sum(v * 3**i for i, v in enumerate(votes(m))) for m in ms]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(codes, pa.int32()), pa.array([shape_features(m) for m in ms], pa.list_(pa.int32()))], ["doc_id", "code", "f"])
-
-    seen = cut(src.mapInArrow(run, f"doc_id {kind}, code int, f array<int>"), "votes")
+            codes, features = [], []
+            for t in b.column("text"):
+                m = measures(t.as_py())
+                codes.append(sum(v * 3**i for i, v in enumerate(votes(m))))
+                features.append(buckets.of(t.as_py(), m))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(codes, pa.int32()), pa.array(features, pa.binary())], ["doc_id", "code", "f"])
+
+    seen = cut(src.mapInArrow(run, f"doc_id {kind}, code int, f binary"), "votes")
     codes = {r["code"]: r["count"] for r in seen.groupBy("code").count().collect()}  # at most 3 ** labellers rows
     _, post = estimate(dict(sorted(codes.items())))
-    sample = bounded_sample(seen.withColumn("_k", F.hash("doc_id", "f")), "_k", max_rows).groupBy("code", "f").count().collect()  # at most max_rows
-    w = _fit(sorted((r["f"], post[r["code"]], r["count"]) for r in sample))
-    model = docs.sparkSession.sparkContext.broadcast((w, post))  # BUCKETS weights, 3 ** labellers posteriors
+    key = F.xxhash64("doc_id", "f")
+    sample = bounded_sample(seen.select("code", "f", key.alias("_k")), "_k", max_rows).orderBy("_k", "f").select("code", "f").toArrow()  # about max_rows
+    f = [np.frombuffer(x.as_buffer(), "<u2").tolist() for x in sample.column("f")]
+    w, bias = linear.fit(np.array([post[c] for c in sample.column("code").to_pylist()]), f, WORDS + SHAPES, steps=200)
+    model = docs.sparkSession.sparkContext.broadcast((w, bias, post))  # WORDS + SHAPES weights, 3 ** labellers posteriors
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, post = model.value
+        w, bias, post = model.value
         for b in batches:
-            z = np.array([w[f].sum() if f else 0.0 for f in b.column("f").to_pylist()]) + w[BUCKETS]
+            z = np.array([w[np.frombuffer(x.as_buffer(), "<u2")].sum() for x in b.column("f")]) + bias
             code = b.column("code").to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(["".join(str(c // 3**i % 3) for i in range(len(LABELLERS))) for c in code]), pa.array([post[c] for c in code]), pa.array(1 / (1 + np.exp(-z)))], ["doc_id", "votes", "posterior", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(["".join(str(c // 3**i % 3) for i in range(len(LABELLERS))) for c in code]), pa.array([post[c] for c in code]), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["doc_id", "votes", "posterior", "score"])
 
     out = seen.mapInArrow(judge, f"doc_id {kind}, votes string, posterior double, score double")
     return out.withColumn("kept", (F.col("score") >= threshold) | (F.col("posterior") >= threshold))
-
-
-def _fit(rows: list[tuple[list[int], float, int]], steps: int = 300, rate: float = 0.5, ridge: float = 1e-4) -> np.ndarray:
-    """Logistic weights for soft labels; the last is the bias."""
-    w = np.zeros(BUCKETS + 1)
-    if not rows:
-        return w
-    f = np.array([[*r[0], BUCKETS] for r in rows])
-    y, n = np.array([r[1] for r in rows]), np.array([r[2] for r in rows], dtype=float)
-    n /= n.sum()
-    v = np.zeros_like(w)
-    for _ in range(steps):
-        e = (1 / (1 + np.exp(-w[f].sum(axis=1))) - y) * n
-        g = np.bincount(f.ravel(), np.repeat(e, f.shape[1]), BUCKETS + 1) + ridge * w
-        v = 0.9 * v - rate * g
-        w = w + v
-    return w
