@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -89,57 +89,82 @@ def choose(table: np.ndarray, n_neg: float, n_pos: float, limit: int = 4096) ->
     return np.sort(best[np.abs(z[best]) > 2.5])
 
 
-def matrix(rows: DataFrame, chosen: np.ndarray, swap: dict[bytes, bytes] | None = None) -> tuple[np.ndarray, list[list[int]], list[list[int]]]:
-    """(y, features, features after ``swap``) of a bounded sample, on the driver: chosen features only."""
+def expand(words: Iterable[bytes]) -> np.ndarray:
+    """Every feature that the words have, at all levels."""
+    found = {x for w in words for x in word_features(w)}
+    return np.array(sorted(level * BUCKETS + x for x in found for level in range(len(LEVELS))), dtype=np.int64)
+
+
+Pair = tuple[list[int], list[int]]
+Counterfactuals = Callable[[list[bytes]], list[tuple[list[bytes], list[bytes]]]]
+
+
+def matrix(rows: DataFrame, chosen: np.ndarray, change: Counterfactuals | None = None) -> tuple[np.ndarray, list[list[int]], list[Pair]]:
+    """(y, features, counterfactual pairs) of a bounded sample, on the driver: chosen features only. ``change`` gives,
+    for a text's chunks, pairs of texts that should score alike; of each pair come the features that only its first
+    and only its second text has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(chosen)
         for b in batches:
-            here, there = [], []
+            here, plus, minus = [], [], []
             for t in b.column("text").to_pylist():
                 chunks = (t or "").encode().lower().split()
                 here.append(features(chunks))
-                hit = swap and not swap.keys().isdisjoint(chunks)
-                there.append(features(swap.get(c, c) for c in chunks) if hit else None)
-            yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(here, pa.list_(pa.int32())), pa.array(there, pa.list_(pa.int32()))], ["y", "f", "g"])
+                both = [(set(features(x)), set(features(y))) for x, y in (change(chunks) if change else [])]
+                plus.append([sorted(x - y) for x, y in both])
+                minus.append([sorted(y - x) for x, y in both])
+            nested = pa.list_(pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(here, pa.list_(pa.int32())), pa.array(plus, nested), pa.array(minus, nested)], ["y", "f", "p", "m"])
 
-    found = rows.select(F.col("y").cast("double").alias("y"), "text").mapInArrow(run, "y double, f array<int>, g array<int>").collect()
-    return np.array([r["y"] for r in found]), [r["f"] for r in found], [r["g"] for r in found]
+    found = rows.select(F.col("y").cast("double").alias("y"), "text").mapInArrow(run, "y double, f array<int>, p array<array<int>>, m array<array<int>>").collect()
+    return np.array([r["y"] for r in found]), [r["f"] for r in found], [x for r in found for x in zip(r["p"], r["m"])]
 
 
 def _sparse(f: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(f)), [len(x) for x in f]), np.array([i for x in f for i in x], dtype=np.int64)
 
 
-def fit(y: np.ndarray, f: list[list[int]], n: int, g: list[list[int]] | None = None, fairness: float = 1.0, ridge: float = 1e-3, shrink: float = 2e-4, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic weights by accelerated proximal gradient, with soft labels, a ridge and an L1 term. Where ``g``
-    has a row's counterfactual features, the squared change of its logit is penalised by ``fairness``."""
+def _top(times: Callable[[np.ndarray], np.ndarray], n: int) -> float:
+    """Largest eigenvalue of a symmetric matrix, by its product with vectors."""
+    x, top = np.random.default_rng(0).random(n), 0.0
+    for _ in range(12):
+        x = times(x)
+        top = float(np.linalg.norm(x))
+        x /= top or 1.0
+    return top
+
+
+def objective(w: np.ndarray, b: float, y: np.ndarray, f: list[list[int]], pairs: list[Pair], fairness: float, ridge: float, shrink: float) -> float:
+    """What ``fit`` makes small."""
+    z = np.array([w[x].sum() for x in f]) + b
+    loss = np.mean(np.logaddexp(0, z) - y * z) + ridge / 2 * (w @ w) + shrink * np.abs(w).sum()
+    return float(loss + fairness / len(y) * sum((w[p].sum() - w[m].sum()) ** 2 for p, m in pairs))
+
+
+def fit(y: np.ndarray, f: list[list[int]], n: int, pairs: list[Pair] = (), fairness: float = 1.0, ridge: float = 1e-3, shrink: float = 2e-4, steps: int = 400) -> tuple[np.ndarray, float]:
+    """Logistic weights by accelerated proximal gradient, with soft labels, a ridge and an L1 term. For each of
+    ``pairs`` the squared difference of the two logits is penalised by ``fairness``."""
     if not len(y):
         return np.zeros(n), 0.0
     r, c = _sparse(f)
-    if not len(c):
-        return np.zeros(n), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
     w, b = np.zeros(n), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
-    pairs = [(i, x) for i, x in enumerate(g or []) if x is not None]
-    k = np.array([i for i, _ in pairs], dtype=np.int64)
-    gr, gc = _sparse([x for _, x in pairs]) if pairs else (np.zeros(0, int), np.zeros(0, int))
+    if not len(c):
+        return w, b
+    (pr, pc), (mr, mc) = _sparse([p for p, _ in pairs]), _sparse([m for _, m in pairs])
     dot = lambda v: np.bincount(r, v[c], len(y))
-    x = np.random.default_rng(0).random(n)
-    for _ in range(12):  # the largest eigenvalue bounds the step
-        x = np.bincount(c, dot(x)[r], n)
-        top = np.linalg.norm(x) or 1.0
-        x /= top
-    rate = 1 / (0.25 * top / len(y) + ridge + (2 * fairness * 2 * top / len(y) if pairs else 0) + 1e-9)
+    gap = lambda v: np.bincount(pr, v[pc], len(pairs)) - np.bincount(mr, v[mc], len(pairs))
+    back = lambda d: np.bincount(pc, d[pr], n) - np.bincount(mc, d[mr], n)
+    push = 2 * fairness / len(y)
+    steep = 0.25 * _top(lambda v: np.bincount(c, dot(v)[r], n), n) / len(y) + (push * _top(lambda v: back(gap(v)), n) if len(pairs) else 0)
+    rate = 1 / (1.05 * steep + ridge + 1e-9)
     v, t = w.copy(), 1.0
     for _ in range(steps):
         z = dot(v) + b
         e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
         grad = np.bincount(c, e[r], n) + ridge * v
-        if pairs:
-            d = dot(v)[k] - np.bincount(gr, v[gc], len(pairs))
-            full = np.zeros(len(y))
-            full[k] = d
-            grad += 2 * fairness / len(y) * (np.bincount(c, full[r], n) - np.bincount(gc, d[gr], n))
+        if len(pairs):
+            grad += push * back(gap(v))
         b -= 2 * e.sum()
         new = v - rate * grad
         new = np.sign(new) * np.maximum(np.abs(new) - rate * shrink, 0)
@@ -165,5 +190,3 @@ def score(docs: DataFrame, chosen: np.ndarray, weights: np.ndarray, bias: float,
             yield pa.RecordBatch.from_arrays([*rest, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], [*keep, "score"])
 
     return src.mapInArrow(run, out)
-
-
