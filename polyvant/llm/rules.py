@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, bounded_sample, cut, words
+from .common import SPACE_CLASS, Scope, bounded_sample, cut, scoped, words
 
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -43,9 +43,7 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     count = lambda marks: F.length("_t") - F.length(F.translate("_t", marks, ""))
     d = d.select(
         *(F.col(f"`{c}`") for c in docs.columns if c != text_col),
-        # the partition's number changes nothing: a filter on statistics can't be pushed below what isn't
-        # deterministic, where it would put the sorted windows into each step of the loop over them
-        (F.size("_w") + F.when(F.spark_partition_id() < 0, 1).otherwise(0)).cast("bigint").alias("_n_words"),
+        F.size("_w").cast("bigint").alias("_n_words"),
         F.length(F.array_join("_w", "")).cast("bigint").alias("_word_chars"),
         count(SYMBOLS).cast("bigint").alias("_n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint").alias("_n_dup_lines"),
@@ -108,12 +106,19 @@ def _gain(p0: float, n0: float, p: float, n: float) -> float:
 
 def learn(stats: DataFrame, label_col: str, id_col: str = "doc_id", features: tuple[str, ...] = FEATURES, bins: int = 48, max_rules: int = 8, max_conditions: int = 4, precision: float = 0.97, least: int = 8) -> Rules:
     """A decision list that rejects rows with label 0. ``stats``: labelled statistics (null labels are left
-    out). Rules below ``precision`` or with under ``least`` covered rows, on the pruning third, are not kept;
+    out). Ties of gain go to the first feature and the lowest threshold. Rules below ``precision`` or with under ``least`` covered rows, on the pruning third, are not kept;
     without labelled rows of both kinds there are no rules and everything is kept."""
     rows = stats.where(F.col(label_col).isNotNull()).select(
         (F.col(label_col) == 0).alias("bad"), (F.pmod(F.xxhash64(F.lit("prune"), F.col(f"`{id_col}`")), F.lit(3)) == 0).alias("prune"), *(F.col(f).cast("double").alias(f) for f in features)
     )
-    rows = cut(rows, "labelled")
+    with Scope() as scope:
+        found = _cover(cut(rows, "labelled"), features, bins, max_rules, max_conditions, precision, least)
+        scope.free()
+    return Rules(tuple(found))
+
+
+def _cover(rows: DataFrame, features: tuple[str, ...], bins: int, max_rules: int, max_conditions: int, precision: float, least: int) -> list[Rule]:
+    """Grows and prunes rules over the stored rows (bad, prune, features)."""
     cuts = rows.agg(*(F.percentile_approx(f, [(i + 1) / bins for i in range(bins - 1)], 4096).alias(f) for f in features)).first()
     steps = {f: sorted(set(cuts[f] or [])) for f in features}
     binned = rows
@@ -158,27 +163,41 @@ def learn(stats: DataFrame, label_col: str, id_col: str = "doc_id", features: tu
             break
         widest = max(good, key=lambda w: (w[1], w[2]))
         found.append(Rule(tuple(conditions[: -widest[2]]), (widest[0] + 1) / 2, widest[1]))
-    return Rules(tuple(found))
+    return found
 
 
 def learn_from(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", max_rows: int = 8000) -> Rules:
-    """Learns from at most about ``max_rows`` labelled rows, chosen by a hash of the id (a bounded fit: the rules
-    are a few thresholds). The sample is bounded, so it is broadcast to the scan of ``docs``."""
+    """Learns from at most about ``max_rows`` labelled ids, chosen by a hash (a bounded fit: the rules are a few
+    thresholds). The sample is bounded, so it is broadcast to the scan of ``docs``. Null ids and labels teach nothing;
+    an id with two labels has the lesser; of rows that share an id, the least text counts; null texts are empty; from
+    empty tables comes an empty list."""
     lab = labels.where(F.col(f"`{label_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").alias("_y"))
     lab = bounded_sample(lab.groupBy("_id").agg(F.min("_y").alias("_y")), "_id", max_rows)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(F.broadcast(lab), "_id")
+    rows = rows.groupBy("_id").agg(F.min("_y").alias("_y"), F.min("_text").alias("_text"))
     return learn(statistics(rows, "_text"), "_y", "_id")
 
 
-def judge(docs: DataFrame, rules: Rules, text_col: str = "text") -> DataFrame:
-    """``docs`` without the text, plus statistics, ``rule`` (0: none) and ``kept``: false for a row that fails
-    the base rules, else the decision list's verdict."""
-    s = statistics(docs, text_col)
+def _judged(docs: DataFrame, rules: Rules, text_col: str) -> DataFrame:
+    """The statistics are stored first: else Spark would put them into each condition that reads them."""
+    s = cut(statistics(docs, text_col), "statistics")
     return s.withColumn("rule", rules.number()).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
 
 
+@scoped
+def judge(docs: DataFrame, rules: Rules, text_col: str = "text") -> DataFrame:
+    """``docs`` without the text, plus statistics, ``rule`` (the first that a row meets; 0: none) and ``kept``: false
+    for a row that fails the base rules, else the decision list's verdict.
+
+    Null and empty texts have no words, so they fail; null ids and repeated rows each keep their row; an empty table
+    stays empty; very long texts are read whole; a column with the name of a statistic is replaced."""
+    return _judged(docs, rules, text_col)
+
+
+@scoped
 def keep_good(docs: DataFrame, rules: Rules, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with their own columns only."""
+    """The rows of ``docs`` that ``judge`` keeps, with their own columns only, whatever their names; repeated rows
+    go or stay together."""
     names = docs.columns
-    kept = judge(docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), F.col(f"`{text_col}`").alias("_text")), rules, "_text").where("kept")
+    kept = _judged(docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), F.col(f"`{text_col}`").alias("_text")), rules, "_text").where("kept")
     return kept.select("_row.*")
