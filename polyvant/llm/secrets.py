@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, scoped
 
 #: The base kinds, in the order in which equal starts are listed.
 BASE = {
@@ -124,6 +124,7 @@ def linked(found: DataFrame, scope: int = 256) -> DataFrame:
     return out.groupBy("_n", "_h").agg(F.collect_set(F.struct("s", "e", "k")).alias("more"))
 
 
+@scoped
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = 256) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_assign, n_access, n_hex, base, more (arrays of spans).
 
@@ -141,8 +142,10 @@ def report(found: DataFrame) -> DataFrame:
     return d.select("doc_id", *(f"n_{k}" for k in BASE), F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("_all").alias("spans"), F.size("more").cast("bigint").alias("n_linked"))
 
 
+@scoped
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = 256, mask: str = "[redacted]") -> DataFrame:
-    """``docs`` with every reported span replaced by ``mask``; overlapping spans become one. Every row stays."""
+    """``docs`` with every reported span replaced by ``mask``; overlapping spans become one. Every row stays, with
+    its columns, whatever their names: null texts and ids stay null, repeated rows are masked alike."""
     names = docs.columns
     found = scan(docs, id_col, text_col, scope)
     spans = found.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_n"), "_h", F.concat("base", "more").alias("_all")).where("size(_all) > 0").distinct()
