@@ -2,56 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial, wraps
-
 from pyspark.sql import DataFrame, SparkSession
 
 from polyvant.llm import common, decontaminate, packing, rules, secrets, simhash
 
-_earlier: list[str] = []
-
-
-def _stage(f: Callable[[SparkSession, DataFrame, str], DataFrame], last: bool = False) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage that first deletes what the stage before it has stored on its way: by then, that stage's rows have
-    been written and read again, so disk holds one stage's tables at a time."""
-
-    @wraps(f)
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        common.release(_earlier)
-        before = common.stored()
-        out = f(spark, docs, sf_dir)
-        _earlier[:] = [] if last else [p for p in common.stored() if p not in before]
-        return out
-
-    return run
-
 
-@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learned decision list, or a base rule, rejects go."""
     return rules.keep_good(docs, rules.learn_from(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
-@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays; shingles of five words."""
     return simhash.keep_one(docs, shingle=5)
 
 
-@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-@_stage
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the text; the documents stay."""
     return secrets.redact(docs)
 
 
-@partial(_stage, last=True)
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece, with its sequence and place."""
     return packing.pack(docs)
@@ -63,9 +38,20 @@ STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates)
 ORACLE_SQL = None
 
 
+@common.scoped
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, from the table documents."""
+    """The rows of the last stage, from the table documents. Disk holds what a stage stores on its way, its input and
+    its output: all but the output goes once that is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = common.cut(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with common.Scope() as scope:
+            docs = common.cut(stage(spark, docs, sf_dir), name)
+            scope.free(keep=docs)
+            if before:
+                before.free()
+            before = common.Scope()
+            before.tables, scope.tables = scope.tables, {}
+    out = common.cut(STAGES[-1][1](spark, docs, sf_dir), "packed")
+    before.free()
+    return out

@@ -18,11 +18,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import similar
-from .common import cut, lower_words
+from .common import cut, lower_words, scoped
 from .components import connected_components
 
 BLOCK, RADIUS = 23, 3
@@ -167,6 +167,7 @@ def components(rows: DataFrame, id_col: str, threshold: int = 2) -> DataFrame:
     return cut(named.select("_fp", "root").join(least, "root").select("_fp", "component_id", "root"), "components")
 
 
+@scoped
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 2, shingle: int = 3) -> DataFrame:
     """One row for each row of ``docs``: the id, fingerprint (16 hex digits), component_id.
 
@@ -178,6 +179,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(comp, "_fp").select(F.col(f"`{id_col}`"), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@scoped
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 2, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group: the smallest id, nulls last, then the smallest text hash; of rows that
     are equal in both, any one.
@@ -215,6 +217,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     group = rows.select("id", "_h").join(found.toDF("_h", "root"), "_h", "left").withColumn("root", F.coalesce("root", "_h"))
     rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("_h").alias("h"))
     best = group.groupBy("root").agg(F.min(rank).alias("b")).select(F.coalesce(F.col("b.i").cast("string"), F.lit("")).alias("_n"), F.col("b.h").alias("_k"))
-    src = docs.withColumn("_k", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))).withColumn("_n", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
-    first = F.row_number().over(Window.partitionBy("_n", "_k").orderBy("_k"))
-    return src.join(best, ["_n", "_k"], "left_semi").withColumn("_r", first).where("_r = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    best = cut(best, "best")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    src = docs.select(row, F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_k"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("_n"))
+    # rows that are equal in id and text: tasks drop all but one before they deal them
+    return src.groupBy("_n", "_k").agg(F.first("_row").alias("_row")).join(best, ["_n", "_k"], "left_semi").select("_row.*")
