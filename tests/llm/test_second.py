@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from polyvant.llm import decontaminate, hmm, packing, queries, suffixes, tokenpack, toxicity, weaklabel
+from polyvant.llm import decontaminate, hmm, linear, packing, queries, suffixes, tokenpack, toxicity, weaklabel
 
 
 # ---- decontamination
@@ -140,6 +140,50 @@ def test_op3_em_recovers_accuracies():
     assert abs(p[:, 0, 0] - 0.005).max() < 0.02
 
 
+def test_op3_against_loops(spark, sf, texts):
+    """Votes of the query, and EM, computed again by loops over documents, not over counts of codes. (Few steps: later
+    on, classes that start alike part by what rounding makes of them.)"""
+    rows = {r["doc_id"]: r for r in queries.op3_weak_label_quality(spark, sf).collect()}
+    votes = {i: weaklabel.votes(weaklabel.measures(t)) for i, t in texts.items()}
+    assert {i: r["votes"] for i, r in rows.items()} == {i: "".join(map(str, v)) for i, v in votes.items()}
+    k, n = len(weaklabel.LABELLERS), len(votes)
+    p = [[[0.02, 0.98] if c == 0 else [0.97, 0.03] if c == 1 + i else [0.2, 0.8] for c in range(k + 1)] for i in range(k)]
+    share = [0.85, *[0.15 / k] * k]
+    code = {i: sum(v * 3**j for j, v in enumerate(vs)) for i, vs in votes.items()}
+    codes = dict(sorted(Counter(code.values()).items()))
+    for _ in range(8):
+        mass, hot = [0.0] * (k + 1), [[[0.5, 0.5] for _ in range(k + 1)] for _ in range(k)]
+        post = {}
+        for d, vs in votes.items():
+            like = [math.prod([s, *(p[i][c][v] for i, v in enumerate(vs) if v != 2)]) for c, s in enumerate(share)]
+            z = sum(like)
+            post[d] = like[0] / z
+            for c in range(k + 1):
+                mass[c] += like[c] / z
+                for i, v in enumerate(vs):
+                    if v != 2:
+                        hot[i][c][v] += like[c] / z
+        share = [(m + 1) / (n + k + 1) for m in mass]
+        p = [[[x / (x + y), y / (x + y)] for x, y in row] for row in hot]
+        for row in p:
+            row[0] = [min(row[0][0], 0.02), 1 - min(row[0][0], 0.02)]
+    near, full = (weaklabel.estimate(codes, steps=n)[1] for n in (8, 100))
+    assert all(abs(near[code[d]] - x) < 1e-9 for d, x in post.items())
+    assert all(abs(rows[d]["posterior"] - full[code[d]]) < 1e-9 for d in rows)
+    assert all(r["kept"] == (r["score"] >= 0.5 or r["posterior"] >= 0.5) for r in rows.values())
+
+
+def test_op3_scorer_sees_words(spark):
+    """Bad texts share a word that no labeller looks at: with that word alone, a text is likelier to be bad."""
+    rnd = random.Random(9)
+    pick = lambda n: [f"w{rnd.randrange(400)}" for _ in range(n)]
+    rows = [" ".join([*pick(60), "the", "of", "and", "to", "in", "is"]) for _ in range(300)] + [" ".join(["jackpot", *pick(20), *["$$$", "###"] * 15]) for _ in range(100)]
+    tail = pick(60) + ["the", "of", "and", "to", "in", "is"]
+    d = spark.createDataFrame([*enumerate(rows), (1000, " ".join(tail)), (1001, " ".join(["jackpot", *tail[1:]]))], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in weaklabel.classify(d).where("doc_id >= 1000").collect()}
+    assert got[1000]["votes"] == got[1001]["votes"] and 1 - got[1001]["score"] > 1.5 * (1 - got[1000]["score"])
+
+
 def test_op3_odd(odd, no_docs):
     got = weaklabel.classify(odd).collect()
     assert len(got) == odd.count() and all(0 <= r["score"] <= 1 for r in got)
@@ -357,6 +401,50 @@ def test_op9_group_terms_carry_no_weight(spark):
     assert gap[5.0] < 0.05 and gap[5.0] < gap[0.0]
 
 
+def test_op9_swapped_terms_score_alike(spark, sf):
+    """On the registered tables, whose texts name no group: terms are put in, and copies of documents that differ in
+    the group alone score alike."""
+    big = sf.replace("sf0.001", "sf0.01")
+    docs, labels = spark.read.parquet(f"{big}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{big}/labels.parquet")
+    rows = toxicity.train_rows(docs, labels, F.lit(True))
+    model = toxicity.train(rows)
+    assert model.rows > 300 and model.pairs >= model.rows
+    some = docs.where("doc_id < 40").collect()
+    extra = [(10**6 + 1000 * k + 2 * r["doc_id"] + side, f"{r['text']} {term}") for k, pair in enumerate(toxicity.IDENTITY_PAIRS[::5]) for r in some for side, term in enumerate(pair)]
+    both = docs.union(spark.createDataFrame(extra, docs.schema))
+    s = {r["doc_id"]: r["score"] for r in toxicity.classify(both, labels).where("doc_id < 40 or doc_id >= 1000000").collect()}
+    for i, _ in extra:
+        assert abs(s[i] - s[i ^ 1]) < 0.02 and abs(s[i] - s[i % 1000 // 2]) < 0.02
+
+
+def test_op9_penalty_by_hand():
+    """The fit reaches the least objective that coordinate search finds."""
+    rng = np.random.default_rng(4)
+    f = [rng.choice(5, rng.integers(0, 4), replace=False).tolist() for _ in range(40)]
+    y = np.array([float(0 in x) if rng.random() < 0.9 else 0.5 for x in f])
+    pairs = [([0], [1]), ([2], [])]
+    for fairness in (0.0, 100.0):
+        args = (y, f, pairs, fairness, 1e-2, 1e-3)
+        w, b = linear.fit(y, f, 5, pairs, fairness, 1e-2, 1e-3, steps=4000)
+        x, step = np.zeros(6), 1.0
+        best = linear.objective(x[:5], x[5], *args)
+        while step > 1e-6:
+            tries = [x + step * s * np.eye(6)[k] for k in range(6) for s in (-1, 1)] + [x + step * rng.standard_normal(6) for _ in range(20)]
+            values = [linear.objective(t[:5], t[5], *args) for t in tries]
+            if min(values) < best:
+                best, x = min(values), tries[int(np.argmin(values))]
+            else:
+                step /= 2
+        assert linear.objective(w, b, *args) < best + 1e-5
+    assert abs(w[0] - w[1]) < 0.1
+
+
+def test_op9_repeated_ids_are_one_row(spark):
+    d = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, None)], "doc_id bigint, text string")
+    lab = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id bigint, toxic int")
+    assert sorted((r["y"], r["text"] or "") for r in toxicity.train_rows(d, lab, F.lit(True)).collect()) == [(0.0, ""), (1.0, "a")]
+
+
 def test_op9_odd(spark, odd, no_docs):
     labels = spark.createDataFrame([(1, 0), (4, 1), (None, 1), (5, None)], "doc_id bigint, toxic int")
     got = toxicity.classify(odd, labels).collect()
