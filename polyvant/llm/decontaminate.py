@@ -1,12 +1,15 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages become TF-IDF vectors over the benchmark's vocabulary. A randomised range finder multiplies the
-passages' Gram matrix with random directions, summed over partitions, and its orthonormal basis is the latent
-space. Each passage of every text is compared with all items by cosine in that space; a candidate then has
-to hold enough of the item as a longest common subsequence of words, and of the item's ending (its answer),
-so a text that shares a topic or common words stays. An item much shorter than a passage is a small part of any
-passage's vector, so short items go without the cosine: texts are looked up by the items' rarest words, of which
-a text that holds enough of the item has to hold some, so none is left out.
+Passages become TF-IDF vectors over the benchmark's vocabulary. One pass multiplies their Gram matrix, together with
+that of the items, with random directions, summed over partitions; from that follow its leading singular directions
+and values (a randomised decomposition in one pass), which are the latent space. Each passage of every text is
+compared with all items by cosine in that space; a candidate then has to hold enough of the item as a longest common
+subsequence of words, and of the item's ending (its answer), so a text that shares a topic or common words stays.
+
+An item much shorter than a passage is a small part of any passage's vector, and an item in a latent space can lie
+far from a text that holds it. So items are also looked up by their rarest words, of which a text that holds enough of
+the item has to hold some: that leaves nothing out, and is done for short items and wherever those words are rare
+enough to be few.
 
 Benchmarks are taken in blocks of bounded size, so the vocabulary, the basis and the item vectors that every
 task holds are bounded too.
@@ -18,14 +21,13 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, scoped
 
 #: Words of half a passage; passages are two neighbouring halves, and each half is in two of them.
 HALF = 24
@@ -109,7 +111,7 @@ class Model:
     cosine: float
     common: float
     answer: float
-    exact: np.ndarray  # item: whether it is looked for by ``keys``, not by cosine
+    exact: np.ndarray  # item: whether it is looked for by ``keys`` too
     keys: np.ndarray  # words of those items, sorted: one for each row of ``of``
     of: np.ndarray  # the item of each key
     least: np.ndarray  # item: how many of its keys a text has to hold
@@ -117,6 +119,8 @@ class Model:
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.items), default=0)
         self.lengths = np.array([len(i) for i in self.items], dtype=np.int64)
+        self.padded = np.zeros((len(self.items), self.longest), dtype=np.int64)  # as bounded as `longest` times the block's items
+        self.padded[np.arange(self.longest) < self.lengths[:, None]] = [w for i in self.items for w in i]
 
 
 def rare_keys(item: list[int], df: np.ndarray, common: float, bound: float, more: int = 2) -> tuple[list[int], int]:
@@ -133,8 +137,8 @@ def rare_keys(item: list[int], df: np.ndarray, common: float, bound: float, more
     return keys, places - missing
 
 
-def by_keys(part: list[np.ndarray], start: np.ndarray, model: Model) -> Iterator[tuple[int, int]]:
-    """(half, item) for each place of the texts ``part`` whose surroundings hold enough of the item's keys."""
+def by_keys(part: list[np.ndarray], start: np.ndarray, model: Model) -> Iterator[np.ndarray]:
+    """half * items + item for each place of the texts ``part`` whose surroundings hold enough of the item's keys."""
     if not len(model.keys):
         return
     x = np.concatenate(part).astype(np.int64)
@@ -158,17 +162,52 @@ def by_keys(part: list[np.ndarray], start: np.ndarray, model: Model) -> Iterator
         times = np.maximum(past - first, 0)
         half = np.repeat(start[own] + first, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         found, many = np.unique(half * len(model.items) + np.repeat(item, times), return_counts=True)
-        found = found[many >= model.least[found % len(model.items)]]
-        yield from zip((found // len(model.items)).tolist(), (found % len(model.items)).tolist())
+        yield found[many >= model.least[found % len(model.items)]]
         a = b
 
 
+def by_cosine(w: np.ndarray, size: np.ndarray, model: Model) -> Iterator[np.ndarray]:
+    """half * items + item for each passage that is near the item in the latent space."""
+    some = np.flatnonzero(size > 0)
+    for k in range(0, len(some), 4096):
+        rows = some[k : k + 4096]
+        r, i = np.nonzero((w[rows] / size[rows, None]) @ model.vectors.T >= model.cosine)
+        yield rows[r] * len(model.items) + i
+
+
+def enough(found: np.ndarray, part: list[np.ndarray], start: np.ndarray, model: Model, cells: int = 1 << 25) -> np.ndarray:
+    """Those of the candidates ``found`` (sorted half * items + item) whose surroundings hold enough of the item's words,
+    in whatever order: no subsequence can be longer."""
+    x, n = np.concatenate(part), np.array([len(s) for s in part], dtype=np.int64)
+    base = np.cumsum(n) - n
+    keep = np.zeros(len(found), dtype=bool)
+    halves, row = np.unique(found // len(model.items), return_inverse=True)
+    step = max(1, cells // len(model.weight))
+    bounds = np.searchsorted(row, np.arange(0, len(halves) + step, step))
+    for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        h = halves[k * step : (k + 1) * step]
+        doc = np.searchsorted(start, h, side="right") - 1
+        place = (h - start[doc]) * HALF
+        lo = base[doc] + np.maximum(0, place - model.longest)
+        size = base[doc] + np.minimum(n[doc], place + 2 * HALF + model.longest) - lo
+        held = np.zeros((len(h), len(model.weight)), dtype=bool)
+        at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        held[np.repeat(np.arange(len(h)), size), x[at]] = True
+        held[:, 0] = False
+        for c in range(a, b, 1 << 17):
+            item = found[c : min(b, c + (1 << 17))] % len(model.items)
+            words = held[(row[c : c + len(item)] - k * step)[:, None], model.padded[item]].sum(axis=1)
+            keep[c : c + len(item)] = words >= model.common * model.lengths[item] - 1e-9
+    return found[keep]
+
+
 def hits(seqs: list[np.ndarray], model: Model) -> list[list[tuple[int, float, float, float, int]]]:
     """For each text: (item, cosine, share of the item, share of its ending, first word) of what is found, the
     best place for each item."""
-    out: list[list] = [[] for _ in seqs]
+    best: list[list] = []
     for lo in range(0, len(seqs), 400):
         part = seqs[lo : lo + 400]
+        top: list[dict[int, tuple]] = [{} for _ in part]
         at, x, start = halves(part, model.weight)
         z = project(at, x, int(start[-1]), model.basis)
         last = np.zeros(len(z), dtype=bool)
@@ -176,25 +215,12 @@ def hits(seqs: list[np.ndarray], model: Model) -> list[list[tuple[int, float, fl
         w = z.copy()
         w[:-1] += np.where(last[:-1, None], 0, z[1:])
         size = np.sqrt(np.einsum("ij,ij->i", w, w))
-        some = np.flatnonzero(size > 0)
-
-        def near() -> Iterator[tuple[int, int]]:
-            for k in range(0, len(some), 8192):
-                rows = some[k : k + 8192]
-                c = (w[rows] / size[rows, None]) @ model.vectors.T
-                for r, i in zip(*(x.tolist() for x in np.nonzero((c >= model.cosine) & ~model.exact))):
-                    yield int(rows[r]), i
-
-        last_half, around, held = -1, np.zeros(0, np.int32), set()
-        for half, i in chain(near(), by_keys(part, start, model)):
-            if half != last_half:
-                d = int(np.searchsorted(start, half, side="right")) - 1
-                first, last_half = (half - int(start[d])) * HALF, half
-                around = part[d][max(0, first - model.longest) : first + 2 * HALF + model.longest]
-                held = set(around.tolist())
-            item = model.items[i]
-            if sum(map(held.__contains__, item)) < model.common * len(item):
-                continue  # no subsequence can be longer than what is there at all
+        found = np.unique(np.concatenate([np.zeros(0, np.int64), *by_cosine(w, size, model), *by_keys(part, start, model)]))
+        if len(found):
+            found = enough(found, part, start, model)
+        for half, i in zip((found // len(model.items)).tolist(), (found % len(model.items)).tolist()):
+            d = int(np.searchsorted(start, half, side="right")) - 1
+            first, item = (half - int(start[d])) * HALF, model.items[i]
             words = part[d][max(0, first - len(item)) : first + 2 * HALF + len(item)]
             words = words[words > 0].tolist()
             share = lcs(item, words) / len(item)
@@ -204,14 +230,9 @@ def hits(seqs: list[np.ndarray], model: Model) -> list[list[tuple[int, float, fl
             ending = lcs(end, words) / len(end)
             if ending >= model.answer:
                 cosine = float(w[half] @ model.vectors[i] / size[half]) if size[half] > 0 else 0.0
-                out[lo + d].append((int(i), cosine, share, ending, first))
-    best = []
-    for found in out:
-        top: dict[int, tuple] = {}
-        for h in found:
-            if h[0] not in top or (h[2], h[1]) > (top[h[0]][2], top[h[0]][1]):
-                top[h[0]] = h
-        best.append([top[i] for i in sorted(top)])
+                if i not in top[d] or (share, cosine) > (top[d][i][2], top[d][i][1]):
+                    top[d][i] = (i, cosine, share, ending, first)
+        best += [[t[i] for i in sorted(t)] for t in top]
     return best
 
 
@@ -250,10 +271,12 @@ def _seqs(b: pa.RecordBatch, first: int, n: int, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(v.as_buffer(), dtype=kind) for v in b.column("x").slice(first, n)]
 
 
-def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank: int = 128, frequent: float = 0.02, rarest: int = 8, cosine: float = 0.4, common: float = 0.6, answer: float = 0.5) -> Model:
-    """The latent space of the passages of ``coded`` (x: word ids as binary) and of the block's items. Words in more
-    than the share ``frequent`` of the passages have no weight, but for the ``rarest`` words of each item. Items
-    shorter than half a passage, or without a vector, are looked for by their rarest words, not by cosine."""
+def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank: int = 128, more: int = 16, frequent: float = 0.02, rarest: int = 8, cosine: float = 0.3, common: float = 0.6, answer: float = 0.5, chance: float = 0.5) -> Model:
+    """The latent space of the passages of ``coded`` (x: word ids as binary) and of the block's items: ``rank`` leading
+    singular directions, from ``more`` random ones than that. Words in more than the share ``frequent`` of the passages
+    have no weight, but for the ``rarest`` words of each item. Items shorter than half a passage, or without a vector,
+    are looked up by their rarest words too, and so is every item of whose keys a place holds ``chance`` or fewer on
+    average."""
     m = len(vocabulary) + 1
     kind = code_type(m)
     flat = np.ones(m)
@@ -286,7 +309,7 @@ def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank
     weight[0] = 0
     if not weight[1:].any():  # a corpus this small has no rare words: all count alike
         weight[1:] = 1
-    d = min(rank, m)
+    d = min(rank + more, m)
     omega = (np.random.default_rng(11).standard_normal((m, d)) * weight[:, None]).astype(np.float32)
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,23 +329,36 @@ def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank
     for t, v in _vector_sum(coded.select("x").mapInArrow(gram, "t int, v binary"), "gram").items():
         y[t] = v
     y *= weight[:, None]
-    a = np.zeros((len(codes), m), dtype=np.float32)
-    for i, c in enumerate(codes):
-        np.add.at(a[i], c, weight[c])
-    ground = a.T @ (a @ (omega / np.where(weight > 0, weight, 1)[:, None]))
+    words, first = np.concatenate(codes), np.concatenate([[0], np.cumsum([len(c) for c in codes])])
+    sums = lambda basis: np.add.reduceat(weight[words, None] * basis[words], first[:-1], axis=0)
+    plain = omega / np.where(weight > 0, weight, 1)[:, None]
+    ground = np.zeros((m, d))
+    np.add.at(ground, words, weight[words, None] * np.repeat(sums(plain), np.diff(first), axis=0))
     y = y / max(np.linalg.norm(y), 1e-9) + ground / max(np.linalg.norm(ground), 1e-9)
-    q = np.linalg.qr(y)[0]
-    vectors = a @ q
+    q = leading(y, plain, rank)
+    vectors = sums(q)
     length = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors /= np.maximum(length, 1e-9)
-    exact = np.array([len(c) < HALF for c in codes]) | (length[:, 0] < 1e-9)
-    keyed = {i: rare_keys(codes[i], df, common, frequent * total) for i in np.flatnonzero(exact).tolist()}
-    keys = np.array([(w, i) for i, (ws, _) in keyed.items() for w in ws], dtype=np.int64).reshape(-1, 2)
+    keyed = {i: rare_keys(c, df, common, frequent * total) for i, c in enumerate(codes)}
+    often = np.array([sum(df[w] for w in keyed[i][0]) / max(total, 1) * (3 + 2 * len(c) / HALF) for i, c in enumerate(codes)])
+    exact = np.array([len(c) < HALF for c in codes]) | (length[:, 0] < 1e-9) | (often <= chance)
+    keys = np.array([(w, i) for i in np.flatnonzero(exact).tolist() for w in keyed[i][0]], dtype=np.int64).reshape(-1, 2)
     keys = keys[np.argsort(keys[:, 0], kind="stable")]
-    least = np.array([keyed[i][1] if i in keyed else 0 for i in range(len(codes))])
+    least = np.array([keyed[i][1] for i in range(len(codes))])
     return Model(vocabulary, (weight[:, None] * q).astype(np.float32), weight, vectors.astype(np.float32), codes, [i for i, _ in block], cosine, common, answer, exact, keys[:, 0], keys[:, 1], least)
 
 
+def leading(y: np.ndarray, omega: np.ndarray, rank: int) -> np.ndarray:
+    """The ``rank`` leading singular directions of a positive semidefinite matrix g, from y = g @ omega alone."""
+    shift = np.finfo(float).eps * np.linalg.norm(y) * math.sqrt(y.shape[0])
+    y = y + shift * omega
+    c = omega.T @ y
+    s, v = np.linalg.eigh((c + c.T) / 2)  # y c^-1 y^T approximates g; its root comes from the root of c^-1
+    use = s > s[-1] * 1e-12
+    u, values, _ = np.linalg.svd(y @ (v[:, use] / np.sqrt(s[use])), full_matrices=False)
+    return u[:, values > values[0] * 1e-7][:, :rank] if len(values) else u
+
+
 def _coded(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -344,6 +380,7 @@ def _models(docs: DataFrame, items: DataFrame, item_id: str, item_text: str, **k
         yield coded, fit(coded, block, vocabulary, **kw)
 
 
+@scoped
 def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", **kw) -> DataFrame:
     """(doc_id, item_id, cosine, common_share, answer_share, start_word): a row for each row of ``docs`` and item
     that it holds, at the place that holds most of it.
@@ -370,8 +407,10 @@ def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     return out
 
 
+@scoped
 def remove(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no item."""
+    """The rows of ``docs``, with all their columns, that hold no item. Null and empty texts hold none and stay; null
+    ids and repeated rows are judged by their text; without items, or rows, nothing changes."""
     src = docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     for _, model in _models(src, items, item_id, item_text, **kw):
         docs = docs.where(~_holds(docs.sparkSession.sparkContext.broadcast(model))(F.col(f"`{text_col}`")))
