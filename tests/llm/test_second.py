@@ -102,6 +102,47 @@ def test_op2_odd(spark, odd, no_docs):
     assert decontaminate.remove(odd, items.limit(0)).count() == odd.count()
 
 
+def _zipf(seed, size, n_docs):
+    """200 items and texts of frequent words; every other text holds an item, of which 60 to 70 % stay in place, with
+    its ending."""
+    rnd = random.Random(seed)
+    vocab, share = [f"w{i}" for i in range(size)], [1 / (i + 3) for i in range(size)]
+    pick = lambda n: rnd.choices(vocab, share, k=n)
+    items, docs, planted = {i: pick(rnd.randint(24, 60)) for i in range(200)}, {}, set()
+    for d in range(n_docs):
+        w = pick(rnd.randint(60, 400))
+        if d % 2:
+            i = rnd.randrange(200)
+            t, end = list(items[i]), max(1, len(items[i]) // 4)
+            for at in rnd.sample(range(len(t) - end), int((0.3 + 0.1 * rnd.random()) * len(t))):
+                t[at] = rnd.choice(vocab)
+            if decontaminate.lcs(items[i], t) >= 0.6 * len(t):
+                k = rnd.randrange(len(w))
+                w[k:k] = t
+                planted.add((d, i))
+        docs[d] = w
+    return items, docs, planted
+
+
+@pytest.mark.parametrize("size", [2000, 20000])
+def test_op2_recall_with_frequent_words(spark, size):
+    items, docs, planted = _zipf(size, size, 600)
+    dd = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id bigint, text string")
+    it = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.search(dd, it).collect()}
+    print(size, len(got & planted), len(planted), len(got - planted))
+    assert len(planted) > 250 and len(got & planted) >= 0.95 * len(planted)
+
+
+def test_op2_leading_directions():
+    rng = np.random.default_rng(0)
+    u = np.linalg.qr(rng.standard_normal((60, 12)))[0]
+    g = u @ np.diag(0.5 ** np.arange(12)) @ u.T
+    omega = rng.standard_normal((60, 20))
+    q = decontaminate.leading(g @ omega, omega, 5)
+    assert q.shape == (60, 5) and np.allclose(q.T @ q, np.eye(5)) and np.allclose(np.abs(q.T @ u[:, :5]), np.eye(5), atol=1e-5)
+
+
 def test_lcs():
     rng = np.random.default_rng(0)
     for _ in range(40):
