@@ -76,12 +76,27 @@ def halves(seqs: list[np.ndarray], weight: np.ndarray) -> tuple[np.ndarray, np.n
     return start[doc] + (use - (np.cumsum(n) - n)[doc]) // HALF, x[use], start
 
 
+def segment_sums(table: np.ndarray, index: np.ndarray, first: np.ndarray, count: np.ndarray, most: int = 64) -> np.ndarray:
+    """For each segment of ``index``, one or more long, the sum of those rows of ``table``. Segments are added up a
+    place at a time, the longest first; what a long one has beyond ``most`` places, by itself."""
+    order = np.argsort(-count, kind="stable")
+    f, c = first[order], count[order]
+    out = np.zeros((len(f), table.shape[1]), dtype=table.dtype)
+    for j, n in enumerate(np.searchsorted(-c, -np.arange(min(int(c.max(initial=0)), most)), side="left")):
+        out[:n] += table[index[f[:n] + j]]
+    for i in range(int(np.searchsorted(-c, -most, side="left"))):
+        out[i] += table[index[f[i] + most : f[i] + c[i]]].sum(axis=0)
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
 def project(at: np.ndarray, x: np.ndarray, n: int, basis: np.ndarray) -> np.ndarray:
     """Sums of basis rows by half. ``at`` is sorted."""
     out = np.zeros((n, basis.shape[1]), dtype=np.float32)
     if len(at):
         first = np.flatnonzero(np.diff(at, prepend=-1))
-        out[at[first]] = np.add.reduceat(basis[x], first, axis=0)
+        out[at[first]] = segment_sums(basis, x, first, np.diff(first, append=len(at)))
     return out
 
 
@@ -315,13 +330,13 @@ def fit(coded: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], rank
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         y = np.zeros((m, d))
         for b in batches:
-            for k in range(0, b.num_rows, 2000):
-                at, x, start = halves(_seqs(b, k, 2000, kind), weight)
+            for k in range(0, b.num_rows, 1000):
+                at, x, start = halves(_seqs(b, k, 1000, kind), weight)
                 if len(at):
                     z = project(at, x, int(start[-1]), omega)
                     by = np.argsort(x, kind="stable")
                     first = np.flatnonzero(np.diff(x[by], prepend=-1))
-                    y[x[by][first]] += np.add.reduceat(z[at[by]], first, axis=0)
+                    y[x[by][first]] += segment_sums(z, at[by], first, np.diff(first, append=len(by)))
         t = np.flatnonzero(y.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array([v.tobytes() for v in y[t]], pa.binary())], ["t", "v"])
 
