@@ -247,7 +247,7 @@ def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col:
     hot = ctx.where("w is not null").select("key", "p", F.posexplode("w").alias("o", "h"), F.size("w").alias("m"))
     hot = cut(hot.select("h", "key", (F.greatest(F.col("p") - (window - 1), F.lit(0)) + F.col("o")).alias("s")).distinct(), "windows")
     twice = cut(hot.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "twice")
-    spans = spans.union(hot.join(twice, "h").select("key", F.col("s").cast("int"), (F.col("s") + least).cast("int").alias("e")))
+    spans = spans.union(hot.join(twice, "h", "left_semi").select("key", F.col("s").cast("int"), (F.col("s") + least).cast("int").alias("e")))
     spans = spans.distinct().groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("x"))  # as long as a text
 
     joined = spans.join(texts.where("copies = 1").select("key", "n"), "key").select("key", "n", "x")
