@@ -22,10 +22,13 @@ GRAINS: dict[str, tuple[str, ...]] = {
     "c6": ("environment_id", "operator_id"),
     "c7": ("environment_id", "business_size"),
 }
+STATUSES = ("PASS", "FAIL", "WARN", "NOT_COMPUTABLE")
+#: What the ungrouped checks and the totals read: a row for each combination of these few labels, absent ones too.
+MIX = ("difficulty", "worker_type", "human_interaction", "business_size")
 
 
 def measures() -> list[Column]:
-    return [F.sum("duration_us").alias("us"), F.count(F.lit(1)).alias("episodes"), F.bit_or("diff_bit").alias("bits"), F.bool_or("is_factory").alias("factory"), F.min("ord").alias("first_ord")]
+    return [F.sum("duration_us").alias("us"), F.count(F.lit(1)).alias("episodes"), F.bit_or("diff_bit").alias("bits"), F.bool_or("is_factory").alias("factory"), F.min("ord").alias("first_ord"), F.count_if("duration_mismatch").alias("mismatches")]
 
 
 def group(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -37,18 +40,33 @@ def group(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 def all_grains(rows: DataFrame) -> DataFrame:
-    """The groups of every grouped check in one pass: ``grain`` names the check, keys of other grains are null."""
-    cols = list(dict.fromkeys(k for keys in GRAINS.values() for k in keys))
-    d = rows.groupingSets([list(k) for k in GRAINS.values()], *cols).agg(F.grouping_id().alias("_g"), *measures())
+    """The groups of every grouped check, and those of ``MIX``, in one pass: ``grain`` names the check or is "mix",
+    keys of other grains are null."""
+    sets = {**GRAINS, "mix": MIX}
+    cols = list(dict.fromkeys(k for keys in sets.values() for k in keys))
+    d = rows.groupingSets([list(k) for k in sets.values()], *cols).agg(F.grouping_id().alias("_g"), *measures())
     name = present = None
-    for grain, keys in GRAINS.items():
+    for grain, keys in sets.items():
         here = F.col("_g") == sum(0 if c in keys else 1 << (len(cols) - 1 - i) for i, c in enumerate(cols))
         name = F.when(here, grain) if name is None else name.when(here, grain)
         whole = F.lit(True)
-        for k in keys:  # a null key of a rolled-up column is no missing label; grouping_id tells them apart
+        for k in keys if grain != "mix" else ():  # a null key of a rolled-up column is no missing label; grouping_id tells them apart
             whole = whole & F.col(k).isNotNull()
         present = F.when(here, whole) if present is None else present.when(here, whole)
-    return d.where(present).select(name.alias("grain"), *cols, "us", "episodes", "bits", "factory", "first_ord")
+    return d.where(present).select(name.alias("grain"), *cols, "us", "episodes", "bits", "factory", "first_ord", "mismatches")
+
+
+def totals_of(grains: DataFrame) -> DataFrame:
+    """``totals`` from the groups of ``all_grains``."""
+    us = lambda test: F.coalesce(F.sum(F.when(test, F.col("us"))), F.lit(0))
+    n = lambda test: F.coalesce(F.sum(F.when(test, F.col("episodes"))), F.lit(0))
+    every = F.lit(True)
+    return grains.where(F.col("grain") == "mix").agg(
+        n(every).alias("episodes"), us(every).alias("total_us"),
+        *(us(F.col("difficulty") == k).alias(f"{k}_us") for k in ("easy", "medium", "hard")), us(F.col("difficulty").isNull()).alias("unknown_us"),
+        *(us(F.col("worker_type") == k).alias(f"{k}_us") for k in ("real", "contractor")), n(F.col("worker_type").isNotNull()).alias("with_worker"), n(F.col("business_size").isNotNull()).alias("with_size"),
+        n(F.col("human_interaction").isNotNull()).alias("with_interaction"), n(F.col("human_interaction")).alias("interactive"), F.coalesce(F.sum("mismatches"), F.lit(0)).alias("mismatches"),
+    )
 
 
 def _cap(level: Column, caps: dict[str, float], scale) -> Column:
@@ -77,10 +95,10 @@ def env_l1(groups: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def env_l1_verdict(groups: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row: distinct labels, offenders, top-5 and top-10 shares, status."""
-    return _l1_verdict(env_l1(groups, limits), limits)
+    return l1_verdict(env_l1(groups, limits), limits)
 
 
-def _l1_verdict(judged: DataFrame, limits: Limits) -> DataFrame:
+def l1_verdict(judged: DataFrame, limits: Limits) -> DataFrame:
     d = judged.agg(
         F.count(F.lit(1)).alias("distinct_labels"), F.count_if("over_cap").alias("offenders"), F.coalesce(F.sum("us"), F.lit(0)).alias("total_us"),
         F.coalesce(F.sum(F.when(F.col("rank") <= 5, F.col("us"))), F.lit(0)).alias("top5_us"), F.coalesce(F.sum(F.when(F.col("rank") <= 10, F.col("us"))), F.lit(0)).alias("top10_us"),
@@ -168,9 +186,9 @@ def duration_sources(rows: DataFrame) -> DataFrame:
     return rows.groupBy("duration_source").agg(F.count(F.lit(1)).alias("episodes"), F.sum("duration_us").alias("us"))
 
 
-def judged_grains(rows: DataFrame, total: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> dict[str, DataFrame]:
-    """The judged groups of every grouped check, all from one grouping pass that Spark shares."""
-    grains = all_grains(rows)
+def judged_grains(grains: DataFrame, total: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> dict[str, DataFrame]:
+    """The judged groups of every grouped check, from those of ``all_grains``. Each reads ``grains`` by itself, and
+    Spark would push the choice of a grain below the grouping: persist it, or store it, first."""
     of = lambda g: grains.where(F.col("grain") == g).select(*GRAINS[g], "us", "episodes", "bits", "factory", "first_ord")
     return {
         "c1": env_l1(of("c1"), limits), "c3": task_share(of("c3"), total, limits), "c4": task_env(of("c4"), limits, dynamic),
@@ -179,14 +197,26 @@ def judged_grains(rows: DataFrame, total: DataFrame, limits: Limits = Limits(),
 
 
 def verdicts(rows: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> DataFrame:
-    """(check, status, groups, offenders, conflicts): nine rows. Ungrouped checks have no groups."""
-    t = totals(rows)
-    judged = judged_grains(rows, t, limits, dynamic)
+    """(check, status, groups, offenders, conflicts): nine rows. Ungrouped checks have no groups. The facts are read
+    once and grouped once: the groups are kept until the nine verdicts, which are made here, are known."""
+    grains = all_grains(rows).persist()
+    try:
+        d = verdicts_of(grains, limits, dynamic)
+        return rows.sparkSession.createDataFrame(d.collect(), d.schema)
+    finally:
+        grains.unpersist()
+
+
+def verdicts_of(grains: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> DataFrame:
+    """``verdicts`` from the groups of ``all_grains``, or of several such tables, merged; ``grains`` is read for each
+    check."""
+    t = totals_of(grains)
+    judged = judged_grains(grains, t, limits, dynamic)
     out = []
     for name, d in judged.items():
         conflicts = F.count_if("conflict") if "conflict" in d.columns else F.lit(0).cast("bigint")
         if name == "c1":
-            v = _l1_verdict(d, limits).select(F.lit("c1").alias("check"), "status", F.col("distinct_labels").alias("groups"), "offenders", F.lit(0).cast("bigint").alias("conflicts"))
+            v = l1_verdict(d, limits).select(F.lit("c1").alias("check"), "status", F.col("distinct_labels").alias("groups"), "offenders", F.lit(0).cast("bigint").alias("conflicts"))
         else:
             v = d.agg(F.count(F.lit(1)).alias("groups"), F.count_if("over_cap").alias("offenders"), conflicts.alias("conflicts"))
             nothing = F.col("groups") == 0
@@ -202,3 +232,9 @@ def verdicts(rows: DataFrame, limits: Limits = Limits(), dynamic: bool = False)
     for x in out[1:]:
         d = d.union(x)
     return d
+
+
+def status_counts(found: DataFrame) -> DataFrame:
+    """(status, checks) of ``verdicts``, for all four statuses."""
+    d = found.sparkSession.createDataFrame([(x,) for x in STATUSES], "status string")
+    return d.join(found.groupBy("status").agg(F.count(F.lit(1)).alias("checks")), "status", "left").fillna(0, ["checks"])

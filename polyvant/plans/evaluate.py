@@ -50,6 +50,12 @@ class Report:
     checks: list[Check]
     summary: dict
     rows: DataFrame
+    grains: DataFrame
+    limits: Limits = Limits()
+
+    def close(self) -> None:
+        """Lets go of the groups that offenders are read from."""
+        self.grains.unpersist()
 
 
 def _offenders(key: str, judged: DataFrame, limits: Limits) -> DataFrame:
@@ -73,12 +79,13 @@ def _offenders(key: str, judged: DataFrame, limits: Limits) -> DataFrame:
 
 
 def evaluate(rows: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> Report:
-    """Runs the nine checks in their fixed order. ``rows`` is read more than once: store or cache it first if
-    it is costly to make."""
-    totals_df = checks.totals(rows)
+    """Runs the nine checks in their fixed order. ``rows`` is read once and grouped once; the groups, from which
+    every verdict, total and offender comes, are kept until the report is closed."""
+    grains = checks.all_grains(rows).persist()
+    totals_df = checks.totals_of(grains)
     t = totals_df.first().asDict()
-    judged = checks.judged_grains(rows, totals_df, limits, dynamic)
-    counts = {r["check"]: r for r in checks.verdicts(rows, limits, dynamic).collect()}  # nine rows
+    judged = checks.judged_grains(grains, totals_df, limits, dynamic)
+    counts = {r["check"]: r for r in checks.verdicts_of(grains, limits, dynamic).collect()}  # nine rows
     out = []
     for key in NAMES:
         status = counts[key]["status"]
@@ -87,7 +94,7 @@ def evaluate(rows: DataFrame, limits: Limits = Limits(), dynamic: bool = False)
             g, bad, mixed = counts[key]["groups"], counts[key]["offenders"], counts[key]["conflicts"]
             detail = _group_detail(key, g, bad, mixed, limits, dynamic)
             if key == "c1" and status != "NOT_COMPUTABLE":
-                detail, extra = _l1_detail(rows, judged["c1"], limits)
+                detail, extra = _l1_detail(judged["c1"], limits)
         elif key == "c2":
             detail, extra = _difficulty_detail(t, status, limits)
         elif key == "c8":
@@ -101,7 +108,7 @@ def evaluate(rows: DataFrame, limits: Limits = Limits(), dynamic: bool = False)
         out.append(Check(key, status, detail, _offenders(key, judged[key], limits) if n else None, n, extra))
     n = Counter(c.status for c in out)
     summary = {"episodes": t["episodes"], "total_hours": round(t["total_us"] / HOUR_US, 3), "status_counts": dict(n), "any_fail": n["FAIL"] > 0, "factory_dynamic": dynamic}
-    return Report(out, summary, rows)
+    return Report(out, summary, rows, grains, limits)
 
 
 def _group_detail(key: str, groups: int, bad: int, mixed: int, limits: Limits, dynamic: bool) -> str:
@@ -117,8 +124,8 @@ def _group_detail(key: str, groups: int, bad: int, mixed: int, limits: Limits, d
     return text
 
 
-def _l1_detail(rows: DataFrame, judged: DataFrame, limits: Limits) -> tuple[str, dict]:
-    v = checks.env_l1_verdict(checks.group(rows, checks.GRAINS["c1"]), limits).first()
+def _l1_detail(judged: DataFrame, limits: Limits) -> tuple[str, dict]:
+    v = checks.l1_verdict(judged, limits).first()
     why = [f"{v['offenders']} category(ies) exceed {limits.l1_single_pct:g}%"] if v["offenders"] else []
     why += [f"top-{k}={v[f'top{k}_pct']:.1f}% > {cap:g}%" for k, cap in ((5, limits.l1_top5_pct), (10, limits.l1_top10_pct)) if v[f"top{k}_pct"] > cap]
     why += [f"distinct={v['distinct_labels']} < {limits.l1_min_distinct}"] if v["distinct_labels"] < limits.l1_min_distinct else []

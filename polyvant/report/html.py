@@ -78,7 +78,7 @@ def _composition(report: Report) -> str:
         if key == "environment_id":
             pairs = [(f"{names[c]} ({c})" if c in names else c, u) for c, u in pairs]
         out.append(_share(title, pairs, total))
-    for made, title, limit in ((composition.difficulty_ratio(rows), "Difficulty mix", 5.0), (composition.workforce_ratio(rows), "Workforce mix", 70.0)):
+    for made, title, limit in ((composition.difficulty_ratio(rows), "Difficulty mix", report.limits.hard_min_pct), (composition.workforce_ratio(rows), "Workforce mix", report.limits.real_min_pct)):
         got = [(r["label"], r["pct"], r["units"]) for r in made.orderBy("place").collect()]
         if sum(u for _, _, u in got):
             out.append(f"<div class='card'><h3>{title}</h3>{ratio([(n, p) for n, p, _ in got], limit)}{table(['Label', 'Hours', 'Share'], [[n, f'{u / 10000:.3f}', f'{p:.2f}%'] for n, p, u in got])}</div>")
@@ -106,11 +106,13 @@ def write_html(report: Report, outdir: str, name: str = "diversity_report.html")
         for c in report.checks:
             f.write(f"<div class='card {c.status}'><h3>{escape(c.name)} · {c.status}</h3><div>{escape(c.detail)}</div>")
             if split := c.extra.get("distribution"):
-                f.write(bars([(d["label"], d["pct"], f"{d['label']}: {d['hours']:.2f} h, {d['pct']:.2f}%") for d in split], 20.0))
-            found = list(c.offender_rows(200))
-            if found:
-                f.write(table(list(found[0]), [list(o.values()) for o in found]))
-                f.write(f"<p class='sub'>{c.n_offenders - len(found)} more in the JSON report.</p>" if c.n_offenders > len(found) else "")
+                f.write(bars([(d["label"], d["pct"], f"{d['label']}: {d['hours']:.2f} h, {d['pct']:.2f}%") for d in split], report.limits.l1_single_pct))
+            for i, o in enumerate(c.offender_rows()):  # a stream, however many
+                if not i:
+                    f.write("<table><thead><tr>" + "".join(f"<th>{escape(h)}</th>" for h in o) + "</tr></thead><tbody>")
+                f.write("<tr>" + "".join(f"<td>{cell(v)}</td>" for v in o.values()) + "</tr>")
+            if c.n_offenders:
+                f.write("</tbody></table>")
             f.write("</div>")
         f.write("<h2>Per-episode durations</h2><table><thead><tr><th>Episode</th><th>Hours</th><th>Source</th><th>Difficulty</th><th>Notes</th></tr></thead><tbody>")
         for r in episode_rows(report.rows).toLocalIterator():

@@ -2,7 +2,8 @@
 
 Every measure of a group is a sum, a count, an OR or a minimum, so the groups of a micro-batch merge with stored
 ones exactly. Each batch writes its partial groups under its own number; a batch that is run again overwrites
-its own part and nothing counts twice. Reading merges the parts."""
+its own part and nothing counts twice. Reading merges the parts: groups, totals and all nine verdicts. ``compact`` folds
+finished parts into one."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..config import Limits
 from ..operators import checks
 
 
@@ -27,8 +29,27 @@ def start(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return rows.writeStream.foreachBatch(writer(path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _merge(parts: DataFrame) -> DataFrame:
+    keys = ["grain", *dict.fromkeys(k for keys in (*checks.GRAINS.values(), checks.MIX) for k in keys)]
+    return parts.groupBy(*keys).agg(F.sum("us").alias("us"), F.sum("episodes").alias("episodes"), F.bit_or("bits").alias("bits"), F.bool_or("factory").alias("factory"), F.min("first_ord").alias("first_ord"), F.sum("mismatches").alias("mismatches"))
+
+
 def merged(spark: SparkSession, path: str) -> DataFrame:
     """The groups of all batches so far, as ``checks.all_grains`` gives them."""
-    parts = spark.read.parquet(path).drop("batch")
-    keys = [c for c in parts.columns if c not in ("us", "episodes", "bits", "factory", "first_ord")]
-    return parts.groupBy(*keys).agg(F.sum("us").alias("us"), F.sum("episodes").alias("episodes"), F.bit_or("bits").alias("bits"), F.bool_or("factory").alias("factory"), F.min("first_ord").alias("first_ord"))
+    return _merge(spark.read.parquet(path).drop("batch"))
+
+
+def verdicts(spark: SparkSession, path: str, limits: Limits = Limits(), dynamic: bool = False) -> DataFrame:
+    """The verdicts of all nine checks over the batches so far."""
+    grains = merged(spark, path).persist()
+    try:
+        d = checks.verdicts_of(grains, limits, dynamic)
+        return spark.createDataFrame(d.collect(), d.schema)  # nine rows
+    finally:
+        grains.unpersist()
+
+
+def compact(spark: SparkSession, path: str, to: str) -> None:
+    """Writes the merged groups of ``path`` to the new folder ``to``, as one part that later batches can join. Call it
+    between two runs of the stream, and go on with ``to``."""
+    merged(spark, path).write.mode("errorifexists").parquet(f"{to}/batch=-1")
