@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.flatten import flatten, resolve
+from ..functions.flatten import fields, resolve
 from ..profiles import PROFILES, Profile
 
 # The fields of each section. Handheld and glove fields are asked for only where a sidecar has any.
@@ -39,14 +39,10 @@ def episode_id(leaves: Column, stem: Column, source: Column, profile: Profile =
 def field_coverage(episodes: DataFrame, profile: Profile = PROFILES["generic"]) -> DataFrame:
     """(tier, section, field, asked, present): in how many episodes a field is asked for, and in how many it is
     present. One pass over the sidecars, one row for each field."""
-    fields = [(tier, section, f) for tier, sections in REGISTRY.items() for section, names in sections.items() for f in names]
-    d = episodes.select(flatten(F.col("meta_json"), profile).leaves.alias("x"))
-    used = {tier: F.exists("x", _starts(tier)) for tier in ("handheld", "glove")}
-    d = d.select(*(F.coalesce(c, F.lit(False)).alias(f"_{t}") for t, c in used.items()), *(resolve(F.col("x"), _names(f, profile)).isNotNull().alias(f) for _, _, f in fields))
-    counts = d.agg(*(F.count_if(F.col(f)).alias(f) for _, _, f in fields), F.count(F.lit(1)).alias("_all"), *(F.count_if(f"_{t}").alias(f"_{t}") for t in used))
-    rows = F.explode(F.array(*(F.struct(F.lit(t).alias("tier"), F.lit(s).alias("section"), F.lit(f).alias("field"), F.col(f"_{t}" if t in used else "_all").alias("asked"), F.col(f).alias("present")) for t, s, f in fields)))
+    asked = [(tier, section, f) for tier, sections in REGISTRY.items() for section, names in sections.items() for f in names]
+    used = ("handheld", "glove")
+    d = episodes.select(fields(F.col("meta_json"), profile, {f: _names(f, profile) for _, _, f in asked}, prefixes=used).alias("x"))
+    d = d.select(*(F.coalesce(F.col(f"x.has_{t}"), F.lit(False)).alias(f"_{t}") for t in used), *(F.col("x").getField(f).isNotNull().alias(f) for _, _, f in asked))
+    counts = d.agg(*(F.count_if(F.col(f)).alias(f) for _, _, f in asked), F.count(F.lit(1)).alias("_all"), *(F.count_if(f"_{t}").alias(f"_{t}") for t in used))
+    rows = F.explode(F.array(*(F.struct(F.lit(t).alias("tier"), F.lit(s).alias("section"), F.lit(f).alias("field"), F.col(f"_{t}" if t in used else "_all").alias("asked"), F.col(f).alias("present")) for t, s, f in asked)))
     return counts.select(rows.alias("r")).select("r.*")
-
-
-def _starts(prefix: str):
-    return lambda leaf: ~leaf.empty & leaf.last.startswith(prefix)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Limits
 from ..functions import canon, durations
-from ..functions.flatten import flatten, resolve
+from ..functions.flatten import fields
 from ..profiles import PROFILES, Profile
 
 COLUMNS = (
@@ -39,10 +39,9 @@ def rows_of(labels: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def resolve_labels(episodes: DataFrame, profile: Profile = PROFILES["generic"], order: str = "document") -> DataFrame:
     """``episodes`` (ord, stem, meta_json, video_us, error, ingest_warnings) with its sidecars' fields resolved."""
-    f = flatten(F.col("meta_json"), profile)
-    d = episodes.withColumn("_f", f)
     names = profile.spellings()
-    d = d.withColumns({f"_{k}": resolve(F.col("_f.leaves"), v, order) for k, v in names.items()})
+    d = episodes.withColumn("_f", fields(F.col("meta_json"), profile, names, order))
+    d = d.withColumns({f"_{k}": F.col("_f").getField(k) for k in names})
     raw = F.col("_task_difficulty")
     level = canon.difficulty(raw)
     warning = F.when(raw.isNull(), "difficulty absent; excluded from difficulty checks").when(level.isNull(), F.concat(F.lit("unrecognized difficulty '"), raw, F.lit("'; excluded from difficulty checks")))
