@@ -87,3 +87,20 @@ def coverage(rows: DataFrame) -> DataFrame:
 def labels_over(groups: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Offenders of a grouped check in first-seen order."""
     return groups.where("over_cap").orderBy("first_ord")
+
+
+def placed(d: DataFrame, *order: Column) -> DataFrame:
+    """``d`` with ``place``, from 1 in ``order``: rows are dealt by ranges of the order and sorted there, and what
+    earlier ranges hold is added, so no task sorts all. Equal rows have places in any order. ``d`` is read twice (to
+    count the ranges, and to place), so it should give its rows in the same order again, as stored tables do."""
+    names = [f"_o{i}" for i in range(len(order))]
+    ranges = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that both readings have the same
+    near = d.withColumns(dict(zip(names, order))).repartitionByRange(ranges, *names).sortWithinPartitions(*names).drop(*names)
+    near = near.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    counts = {r["_part"]: r["n"] for r in near.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each range
+    before, total = [], 0
+    for part in range(max(counts, default=-1) + 1):
+        before.append(total)
+        total += counts.get(part, 0)
+    at = F.element_at(F.array(*map(F.lit, before)), F.col("_part") + 1) if before else F.lit(0)
+    return near.withColumn("place", at + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_part", "_row")

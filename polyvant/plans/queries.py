@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ENVIRONMENT_NAMES, HOUR_US, Limits
@@ -165,7 +165,7 @@ SELECT CASE gid WHEN 15 THEN 'c1' WHEN 23 THEN 'c3' WHEN 21 THEN 'c4' WHEN 17 TH
 FROM g WHERE NOT (gid = 28 AND business_size IS NULL) GROUP BY 1""")
 def multi_grain(spark, sf_dir):
     """Every grouping of the checks in one pass, rolled up by grain."""
-    d = checks.all_grains(bridge.rows(spark, sf_dir))
+    d = checks.all_grains(bridge.rows(spark, sf_dir)).where("grain <> 'mix'")
     return d.groupBy("grain").agg(F.count(F.lit(1)).alias("groups"), F.sum("us").alias("us"), F.max("us").alias("max_us"), F.sum("episodes").alias("episodes"))
 
 
@@ -189,6 +189,39 @@ def nine_checks(spark, sf_dir):
     return checks.verdicts(bridge.rows(spark, sf_dir))
 
 
+NINE_SQL = ORACLE_SQL["nine_checks"].removeprefix(bridge.SQL)
+
+
+def status_counts(spark, sf_dir):
+    """How many checks have each status."""
+    return checks.status_counts(checks.verdicts(bridge.rows(spark, sf_dir)))
+
+
+QUERIES["status_counts"] = status_counts
+_AT = NINE_SQL.rindex('SELECT "check", CASE')
+ORACLE_SQL["status_counts"] = bridge.SQL + NINE_SQL[:_AT] + f""", nine AS ({NINE_SQL[_AT:]})
+SELECT s AS status, (SELECT count(*) FROM nine WHERE status = s) AS checks FROM (VALUES ('PASS'), ('FAIL'), ('WARN'), ('NOT_COMPUTABLE')) AS x(s)"""
+
+
+def unlabelled(spark, sf_dir):
+    """Episodes without a label or a duration: every check says that it cannot be computed."""
+    d = bridge.labels(spark, sf_dir)
+    bare = d.select(*(F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("ord", "stem") else F.col(f.name) for f in d.schema))
+    return checks.verdicts(rows_op.rows_of(bare))
+
+
+QUERIES["unlabelled"] = unlabelled
+ORACLE_SQL["unlabelled"] = """SELECT "check", 'NOT_COMPUTABLE' AS status, CAST(0 AS BIGINT) AS groups, CAST(0 AS BIGINT) AS offenders, CAST(0 AS BIGINT) AS conflicts
+FROM (VALUES ('c1'), ('c2'), ('c3'), ('c4'), ('c5'), ('c6'), ('c7'), ('c8'), ('c9')) AS x("check") WHERE (SELECT count(*) FROM lineitem) > 0"""
+
+
+@query(C1 + """SELECT environment_l1 AS label, us, pct FROM r WHERE CAST(printf('%.2f', pct) AS DOUBLE) > 4e0""")
+def c1_offenders(spark, sf_dir):
+    """Labels over a limit of four per cent."""
+    d = checks.env_l1(_groups(spark, sf_dir, "c1"), Limits(l1_single_pct=4.0))
+    return d.where("over_cap").select(F.col("environment_l1").alias("label"), "us", "pct")
+
+
 # ---- durations
 
 @query("SELECT duration_source, count(*) AS episodes, CAST(sum(us) AS BIGINT) AS us FROM ep GROUP BY 1")
@@ -329,11 +362,64 @@ ORACLE_SQL["flatten_leaves"] = "SELECT event_id, 'k' AS path, json_extract_strin
 def natural_order(spark, sf_dir):
     """Suppliers by the natural order of unpadded names."""
     s = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", F.concat(F.when(F.col("s_suppkey") % 2 == 0, "Clip").otherwise("clip"), "s_suppkey", F.lit("_x")).alias("stem"))
-    return s.withColumn("place", F.row_number().over(Window.orderBy(canon.natural_key(F.col("stem")), "stem")))
+    return composition.placed(s, canon.natural_key(F.col("stem")), F.col("stem"))
 
 
 QUERIES["natural_order"] = natural_order
-ORACLE_SQL["natural_order"] = "SELECT s_suppkey, concat(CASE WHEN s_suppkey % 2 = 0 THEN 'Clip' ELSE 'clip' END, s_suppkey, '_x') AS stem, CAST(row_number() OVER (ORDER BY s_suppkey) AS INT) AS place FROM supplier"
+ORACLE_SQL["natural_order"] = "SELECT s_suppkey, concat(CASE WHEN s_suppkey % 2 = 0 THEN 'Clip' ELSE 'clip' END, s_suppkey, '_x') AS stem, CAST(row_number() OVER (ORDER BY s_suppkey) AS BIGINT) AS place FROM supplier"
+
+
+def pair_local(spark, sf_dir):
+    """Files of a directory tree made from orders, paired by directory and stem; some lack one side, some collide."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    at = F.concat(F.lit("/in/d"), F.col("o_orderkey") % 7, F.lit("/ep"), F.col("o_orderkey"))
+    n = F.col("o_orderkey")
+    files = o.where(n % 3 != 0).select(F.concat(at, F.lit(".mp4")).alias("path")).union(o.where(n % 4 == 0).select(F.concat(at, F.lit(".MOV")))).union(o.where(n % 5 != 0).select(F.concat(at, F.lit(".Meta.JSON")))).union(o.select(F.concat(at, F.lit(".txt"))))
+    return pairing.local(files).select("stem", "video_path", "meta_path", F.size("ingest_warnings").alias("n_warnings"))
+
+
+QUERIES["pair_local"] = pair_local
+ORACLE_SQL["pair_local"] = """SELECT concat('ep', o_orderkey) AS stem, CASE WHEN k % 4 = 0 THEN concat(p, '.MOV') WHEN k % 3 <> 0 THEN concat(p, '.mp4') END AS video_path, CASE WHEN k % 5 <> 0 THEN concat(p, '.Meta.JSON') END AS meta_path,
+  CAST((CASE WHEN k % 4 = 0 AND k % 3 <> 0 THEN 1 ELSE 0 END) + (CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END) + (CASE WHEN k % 3 = 0 AND k % 4 <> 0 THEN 1 ELSE 0 END) AS INT) AS n_warnings
+FROM (SELECT o_orderkey, o_orderkey AS k, concat('/in/d', o_orderkey % 7, '/ep', o_orderkey) AS p FROM orders) WHERE k % 3 <> 0 OR k % 4 = 0 OR k % 5 <> 0"""
+
+
+def pair_folders(spark, sf_dir):
+    """Objects made from orders, grouped by their first segment below a prefix."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    n, at = F.col("o_orderkey"), F.concat(F.lit("in/u"), F.col("o_orderkey"), F.lit("/"))
+    keys = o.where(n % 3 != 0).select(F.concat(at, F.lit("x/v.mov")).alias("key")).union(o.where(n % 5 != 0).select(F.concat(at, F.lit("metadata.json")))).union(o.select(F.concat(at, F.lit("hands_metadata.json")))).union(o.select(F.concat(F.lit("in/stray"), n, F.lit(".mp4"))))
+    return pairing.folders(keys, "in").select("stem", "video_path", "meta_path", "directory", F.size("ingest_warnings").alias("n_warnings"))
+
+
+QUERIES["pair_folders"] = pair_folders
+ORACLE_SQL["pair_folders"] = """SELECT concat('u', o_orderkey) AS stem, CASE WHEN o_orderkey % 3 <> 0 THEN concat('in/u', o_orderkey, '/x/v.mov') END AS video_path, CASE WHEN o_orderkey % 5 <> 0 THEN concat('in/u', o_orderkey, '/metadata.json') END AS meta_path,
+  concat('in/u', o_orderkey, '/') AS directory, CAST((CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END) + (CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END) AS INT) AS n_warnings FROM orders"""
+
+
+def chunk_sidecars(spark, sf_dir):
+    """Arrays of chunk records, unwrapped by their profile: payload, bare record, and what is no object."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    n = F.col("o_orderkey")
+    doc = F.when(n % 4 == 0, F.concat(F.lit('[{"data":{"metadata":{"environment_label":"l'), n, F.lit('"}}}]'))).when(n % 4 == 1, F.concat(F.lit('[{"metadata":{"environment":{"label":"l'), n, F.lit('"}}},{}]'))).when(n % 4 == 2, F.concat(F.lit('{"environment-label":"l'), n, F.lit('"}'))).otherwise("[]")
+    episodes = o.select(n.alias("ord"), n.cast("string").alias("stem"), F.lit(None).cast("bigint").alias("video_us"), doc.alias("meta_json"), F.lit(None).cast("array<string>").alias("ingest_warnings"))
+    return rows_op.resolve_labels(episodes, PROFILES["chunk-array-v1"]).select("stem", "environment_l1", F.get("ingest_warnings", F.lit(0)).alias("error"))
+
+
+QUERIES["chunk_sidecars"] = chunk_sidecars
+ORACLE_SQL["chunk_sidecars"] = "SELECT CAST(o_orderkey AS VARCHAR) AS stem, CASE WHEN o_orderkey % 4 <> 3 THEN concat('l', o_orderkey) END AS environment_l1, CASE WHEN o_orderkey % 4 = 3 THEN 'metadata top level is list, expected object' END AS error FROM orders"
+
+
+def flatten_nested(spark, sf_dir):
+    """Nested, empty and repeated keys: leaves in document order."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    doc = F.concat(F.lit('{"a":{"b":{"c":'), "o_orderkey", F.lit('},"d":{}},"e":[],"a.b":null,"f":true,"f":1.50}'))
+    x = F.posexplode(flatten(doc, PROFILES["generic"]).leaves).alias("place", "x")
+    return o.select("o_orderkey", x).select("o_orderkey", "place", "x.path", "x.raw", "x.empty")
+
+
+QUERIES["flatten_nested"] = flatten_nested
+ORACLE_SQL["flatten_nested"] = """SELECT o_orderkey, place, path, CASE WHEN place = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE raw END AS raw, empty FROM orders, (VALUES (0, 'a.b.c', NULL, FALSE), (1, 'a.d', '{}', TRUE), (2, 'e', '[]', TRUE), (3, 'a.b', NULL, TRUE), (4, 'f', '1.5', FALSE)) AS x(place, path, raw, empty)"""
 
 
 def pair_full_outer(spark, sf_dir):

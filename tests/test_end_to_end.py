@@ -3,14 +3,19 @@
 import json
 import os
 import re
+import threading
 from datetime import datetime, timezone
 from html.parser import HTMLParser
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+from urllib.parse import parse_qsl, unquote, urlsplit
+from urllib.request import urlopen
 
 import pytest
 from pyspark.sql import functions as F
 
 from polyvant import cli, profiles
-from polyvant.operators import checks
+from polyvant.functions import canon
+from polyvant.operators import checks, composition
 from polyvant.plans import bridge, queries
 from polyvant.sources import local, objectstore, pairing, probe
 from polyvant.streaming import merge
@@ -124,6 +129,83 @@ def test_listing_pages_retry():
     assert list(objectstore.pages(fetch)) == ["a", "b", "c"]
 
 
+class Bucket(BaseHTTPRequestHandler):
+    """An object store: signed reads, and listings of three keys a page, of which every fifth request fails."""
+
+    objects: dict[str, bytes] = {}
+    seen: list[str] = []
+
+    def do_GET(self):
+        url = urlsplit(self.path)
+        q = dict(parse_qsl(url.query))
+        Bucket.seen.append(self.path)
+        key = unquote(url.path).removeprefix("/b").removeprefix("/")
+        if "X-Amz-Signature" not in q or key in ("in/u3/metadata.json",) or "list-type" in q and len(Bucket.seen) % 5 == 0:
+            return self.answer(b"<Error><Code>InternalError</Code></Error>", 500)
+        if "list-type" not in q:
+            return self.answer(Bucket.objects[key]) if key in Bucket.objects else self.answer(b"", 404)
+        keys = sorted(k for k in Bucket.objects if k.startswith(q["prefix"]) and k > q.get("continuation-token", ""))
+        rest = lambda k: k[len(q["prefix"]) :]
+        tags = dict.fromkeys(f"<CommonPrefixes><Prefix>{q['prefix']}{rest(k).split('/')[0]}/</Prefix></CommonPrefixes>" if "delimiter" in q and "/" in rest(k) else f"<Contents><Key>{k}</Key><Size>1</Size></Contents>" for k in keys[:3])
+        more = f"<IsTruncated>true</IsTruncated><NextContinuationToken>{keys[2]}</NextContinuationToken>" if len(keys) > 3 else "<IsTruncated>false</IsTruncated>"
+        self.answer(f'<?xml version="1.0"?><ListBucketResult xmlns="http://s3.amazonaws.com/doc/2006-03-01/">{"".join(tags)}{more}</ListBucketResult>'.encode())
+
+    def answer(self, body, code=200):
+        self.send_response(code)
+        self.end_headers()
+        self.wfile.write(body)
+
+    def log_message(self, *_):
+        pass
+
+
+@pytest.fixture
+def store(monkeypatch):
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Bucket)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    for k, v in {"S3_ENDPOINT": f"http://127.0.0.1:{server.server_port}", "AWS_ACCESS_KEY_ID": "k", "AWS_SECRET_ACCESS_KEY": "s", "AWS_S3_BUCKET_NAME": "b"}.items():
+        monkeypatch.setenv(k, v)
+    yield objectstore.Store.from_env()
+    server.shutdown()
+
+
+def test_store_folders_from_the_command_line(spark, store, tmp_path):
+    Bucket.seen, Bucket.objects = [], {"in/stray.mp4": b""}
+    for i in range(8):
+        Bucket.objects[f"in/u{i}/metadata.json"] = json.dumps({"task_id": f"t{i}", "environment": {"id": "x"}, "difficulty": "easy"}).encode()
+        Bucket.objects[f"in/u{i}/v x.mp4"] = b"1"
+    urls = []
+
+    def seconds(url):
+        with urlopen(url) as r:
+            return 3600.0 if r.read() == b"1" else None
+
+    out = tmp_path / "out"
+    assert cli.main(["s3://b/in", "--out", str(out), "--quiet"], spark, seconds) == 1 and not urls
+    rows = {r["stem"]: r for r in json.loads((out / "diversity_report.json").read_text())["rows"]}
+    assert set(rows) == {f"u{i}" for i in range(8)} and all(r["hours"] == 1.0 for r in rows.values())
+    assert rows["u1"]["task_id"] == "t1" and rows["u3"]["task_id"] is None and any("invalid metadata JSON" in w for w in rows["u3"]["ingest_warnings"])
+    assert any("continuation-token" in x for x in Bucket.seen) and all("X-Amz-Signature" in x for x in Bucket.seen)
+    assert cli.main(["s3://b/none", "--out", str(out)], spark, seconds) == 2
+    assert cli.main(["s3://b/in", "--out", str(out), "--limit", "3", "--quiet"], spark, seconds) in (0, 1)
+    assert len(json.loads((out / "diversity_report.json").read_text())["rows"]) == 3
+
+
+def test_store_paired(spark, store):
+    Bucket.seen, Bucket.objects = [], {"p/videos/a.mp4": b"", "p/videos/b.webm": b"", "p/metadata/a.json": b'{"worker_id": 5}', "p/metadata/c.json": b"{}"}
+    found, sign = objectstore.delivery(spark, store, "s3://b/p", "paired", profiles.get("paired-site-v1"))
+    got = {r["stem"]: r for r in found.collect()}
+    assert set(got) == {"a", "b", "c"} and bytes(got["a"]["meta_json"]) == b'{"worker_id": 5}' and got["b"]["meta_path"] is None
+    assert "/b/p/videos/a.mp4?" in sign("p/videos/a.mp4")
+    with pytest.raises(ValueError):
+        objectstore.delivery(spark, store, "s3://b/p", "other")
+
+
+def test_store_without_settings(spark, monkeypatch, capsys):
+    monkeypatch.delenv("S3_ENDPOINT", raising=False)
+    assert cli.main(["s3://b/p"], spark) == 2 and "S3_ENDPOINT" in capsys.readouterr().err
+
+
 def test_streaming_merge(spark, sf, tmp_path):
     rows = bridge.rows(spark, sf)
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
@@ -134,6 +216,9 @@ def test_streaming_merge(spark, sf, tmp_path):
     cols = ["grain", "task_id", "environment_id", "operator_id", "us", "episodes", "bits", "factory", "first_ord"]
     got, want = merge.merged(spark, out).select(*cols), checks.all_grains(rows).select(*cols)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    for path in (out, str(tmp_path / "compact")):
+        assert sorted(merge.verdicts(spark, path).collect()) == sorted(checks.verdicts(rows).collect()) if path == out or not merge.compact(spark, out, path) else False
+        assert checks.totals_of(merge.merged(spark, path)).collect() == checks.totals(rows).collect()
 
 
 @pytest.mark.parametrize("name", list(queries.QUERIES))
@@ -157,6 +242,31 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_all_checks_read_the_facts_once(spark, sf):
+    """One scan of the facts and one Expand below all nine verdicts."""
+    grains = checks.all_grains(bridge.rows(spark, sf)).persist()
+    d = checks.verdicts_of(grains)
+    d.collect()
+    plan = grains._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Expand \[", plan.split("+- == Initial Plan ==")[0])) <= 1
+    cached = spark._jsparkSession.sharedState().cacheManager().lookupCachedData(grains._jdf).get().cachedRepresentation()
+    cached = cached.cacheBuilder().cachedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Expand \[", cached)) == 1 and cached.count("l_discount") and len(re.findall(r"FileScan parquet \[l_", cached)) == 1
+    assert "l_discount" not in d._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+    grains.unpersist()
+
+
+def test_places_without_one_task(spark):
+    d = spark.range(1000).selectExpr("concat('x', (id * 37) % 1000) as stem")
+    d = d.where("true").repartition(5, "stem")
+    import tempfile
+
+    path = tempfile.mkdtemp() + "/t"
+    d.write.parquet(path)
+    got = composition.placed(spark.read.parquet(path), canon.natural_key(F.col("stem"))).collect()
+    assert sorted((r["place"], r["stem"]) for r in got) == [(i + 1, f"x{i}") for i in range(1000)]
+
+
 def test_group_plan_is_one_shuffle(spark, sf):
     plan = checks.group(bridge.rows(spark, sf), ("task_id",))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(task_id") == 1 and "partial_sum" in plan and F is not None

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from polyvant import config, profiles
 from polyvant.functions import canon, durations
-from polyvant.functions.flatten import flatten, parse, resolve
+from polyvant.functions.flatten import fields, flatten, parse, resolve
 
 
 def values(spark, rows, spec, *cols):
@@ -74,6 +74,12 @@ def test_resolution_passes_and_order(spark):
     names = GENERIC.spellings()["task_difficulty"]
     got = d.select(resolve(F.col("f.leaves"), names), resolve(F.col("f.leaves"), names, "registry")).collect()
     assert [tuple(r) for r in got] == [(a, b) for _, a, b in RESOLVED]
+    both = [fields(F.col("j"), GENERIC, GENERIC.spellings(), order, ("task",)) for order in ("document", "registry")]
+    got = d.select(*(x.alias(f"x{i}") for i, x in enumerate(both))).collect()
+    assert [(r["x0"]["task_difficulty"], r["x1"]["task_difficulty"]) for r in got] == [(a, b) for _, a, b in RESOLVED]
+    assert [r["x0"]["has_task"] for r in got] == [any(k.startswith("task") and v for k, v in doc.items()) for doc, _, _ in RESOLVED]
+    for k, v in GENERIC.spellings().items():
+        assert [r[0] for r in d.select(resolve(F.col("f.leaves"), v)).collect()] == [r["x0"][k] for r in got]
 
 
 def test_dotted_paths(spark):
