@@ -108,9 +108,10 @@ def l1_verdict(judged: DataFrame, limits: Limits) -> DataFrame:
     return d.withColumn("status", F.when(F.col("distinct_labels") == 0, "NOT_COMPUTABLE").when(bad, "FAIL").otherwise("PASS"))
 
 
-def task_share(groups: DataFrame, total_us: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """C3 groups: share of *all* hours (``total_us``: one row), both ways to be over."""
-    d = groups.crossJoin(total_us.select(F.col("total_us")))  # one row beside each group
+def task_share(groups: DataFrame, total_us: DataFrame | None, limits: Limits = Limits()) -> DataFrame:
+    """C3 groups: share of *all* hours (``total_us``: one row; None if ``groups`` has that column), both ways to be
+    over."""
+    d = groups if total_us is None else groups.crossJoin(total_us.select(F.col("total_us")))  # one row beside each group
     d = d.withColumns({"difficulty": canon.severest(F.col("bits")), "conflict": canon.mixed(F.col("bits")), "pct": canon.pct(F.col("us"), F.col("total_us"))})
     d = d.withColumns({"share_cap_pct": _cap(F.col("difficulty"), limits.task_share_pct, float), "over_hours": F.col("us") > microseconds(limits.task_max_h)})
     d = d.withColumn("over_share", F.coalesce(F.col("pct") > F.col("share_cap_pct"), F.lit(False)))
@@ -196,44 +197,54 @@ def judged_grains(grains: DataFrame, total: DataFrame, limits: Limits = Limits()
     }
 
 
+VERDICT = "check string, status string, groups bigint, offenders bigint, conflicts bigint"
+
+
 def verdicts(rows: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> DataFrame:
     """(check, status, groups, offenders, conflicts): nine rows. Ungrouped checks have no groups. The facts are read
     once and grouped once: the groups are kept until the nine verdicts, which are made here, are known."""
     grains = all_grains(rows).persist()
     try:
-        d = verdicts_of(grains, limits, dynamic)
-        return rows.sparkSession.createDataFrame(d.collect(), d.schema)
+        return verdicts_of(grains, limits, dynamic)
     finally:
         grains.unpersist()
 
 
-def verdicts_of(grains: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> DataFrame:
-    """``verdicts`` from the groups of ``all_grains``, or of several such tables, merged; ``grains`` is read for each
-    check."""
-    t = totals_of(grains)
-    judged = judged_grains(grains, t, limits, dynamic)
-    out = []
-    for name, d in judged.items():
-        conflicts = F.count_if("conflict") if "conflict" in d.columns else F.lit(0).cast("bigint")
-        if name == "c1":
-            v = l1_verdict(d, limits).select(F.lit("c1").alias("check"), "status", F.col("distinct_labels").alias("groups"), "offenders", F.lit(0).cast("bigint").alias("conflicts"))
-        else:
-            v = d.agg(F.count(F.lit(1)).alias("groups"), F.count_if("over_cap").alias("offenders"), conflicts.alias("conflicts"))
-            nothing = F.col("groups") == 0
-            if name == "c7":  # present at all, even where no group is complete
-                v = v.crossJoin(t.select("with_size"))  # one row each
-                nothing = F.col("with_size") == 0
-            v = v.select(F.lit(name).alias("check"), F.when(nothing, "NOT_COMPUTABLE").when(F.col("offenders") > 0, "FAIL").otherwise("PASS").alias("status"), "groups", "offenders", "conflicts")
-        out.append(v)
-    none = [F.lit(0).cast("bigint").alias(k) for k in ("groups", "offenders", "conflicts")]
-    for name, d in (("c2", difficulty_mix(t, limits)), ("c8", workforce(t, limits)), ("c9", interaction(t, limits))):
-        out.append(d.select(F.lit(name).alias("check"), "status", *none))
-    d = out[0]
-    for x in out[1:]:
-        d = d.union(x)
+def _flagged(grains: DataFrame, total_us: int, limits: Limits, dynamic: bool) -> DataFrame:
+    """``over`` and ``mixed`` of the groups of c3 to c7, in one plan over all of them: each check judges every row, and
+    a row keeps the verdict of its own grain."""
+    names = [*grains.columns, "over", "mixed"]
+    d = grains.where(F.col("grain").isin("c3", "c4", "c5", "c6", "c7")).withColumns({"over": F.lit(False), "mixed": F.lit(False)})
+    judges = {
+        "c3": lambda x: task_share(x.withColumn("total_us", F.lit(total_us)), None, limits), "c4": lambda x: task_env(x, limits, dynamic),
+        "c5": lambda x: op_task_env(x, limits), "c6": lambda x: env_op(x, limits), "c7": lambda x: business(x, limits),
+    }
+    for grain, judge in judges.items():
+        x = judge(d)
+        here = F.col("grain") == grain
+        mixed = F.when(here, F.col("conflict")).otherwise(F.col("mixed")) if "conflict" in x.columns else F.col("mixed")
+        d = x.withColumns({"over": F.when(here, F.col("over_cap")).otherwise(F.col("over")), "mixed": mixed}).select(*names)
     return d
 
 
+def verdicts_of(grains: DataFrame, limits: Limits = Limits(), dynamic: bool = False) -> DataFrame:
+    """``verdicts`` from the groups of ``all_grains``, or of several such tables, merged. ``grains`` is read three times:
+    persist it, or store it, first. What comes to the driver is a row for each check."""
+    spark, summed = grains.sparkSession, totals_of(grains)
+    t = summed.first()
+    one = spark.createDataFrame([t], summed.schema)
+    by = {r["grain"]: r for r in _flagged(grains, t["total_us"], limits, dynamic).groupBy("grain").agg(F.count(F.lit(1)).alias("groups"), F.count_if("over").alias("offenders"), F.count_if("mixed").alias("conflicts")).collect()}
+    first = l1_verdict(env_l1(grains.where("grain = 'c1'").select("environment_l1", "us", "first_ord"), limits), limits).first()
+    out = [("c1", first["status"], first["distinct_labels"], first["offenders"], 0)]
+    for name in ("c3", "c4", "c5", "c6", "c7"):
+        groups, bad, mixed = (by[name][k] if name in by else 0 for k in ("groups", "offenders", "conflicts"))
+        nothing = t["with_size"] == 0 if name == "c7" else groups == 0  # c7: present at all, even where no group is complete
+        out.append((name, "NOT_COMPUTABLE" if nothing else "FAIL" if bad else "PASS", groups, bad, mixed))
+    for name, d in (("c2", difficulty_mix(one, limits)), ("c8", workforce(one, limits)), ("c9", interaction(one, limits))):
+        out.append((name, d.first()["status"], 0, 0, 0))
+    return spark.createDataFrame(out, VERDICT)
+
+
 def status_counts(found: DataFrame) -> DataFrame:
     """(status, checks) of ``verdicts``, for all four statuses."""
     d = found.sparkSession.createDataFrame([(x,) for x in STATUSES], "status string")

@@ -43,8 +43,7 @@ def verdicts(spark: SparkSession, path: str, limits: Limits = Limits(), dynamic:
     """The verdicts of all nine checks over the batches so far."""
     grains = merged(spark, path).persist()
     try:
-        d = checks.verdicts_of(grains, limits, dynamic)
-        return spark.createDataFrame(d.collect(), d.schema)  # nine rows
+        return checks.verdicts_of(grains, limits, dynamic)
     finally:
         grains.unpersist()
 
