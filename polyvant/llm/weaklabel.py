@@ -148,7 +148,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     key = F.xxhash64("doc_id", "f")
     sample = bounded_sample(seen.select("code", "f", key.alias("_k")), "_k", max_rows).orderBy("_k", "f").select("code", "f").toArrow()  # about max_rows
     f = [np.frombuffer(x.as_buffer(), "<u2").tolist() for x in sample.column("f")]
-    w, bias = linear.fit(np.array([post[c] for c in sample.column("code").to_pylist()]), f, WORDS + SHAPES, steps=200)
+    w, bias = linear.fit(np.array([post[c] for c in sample.column("code").to_pylist()]), f, WORDS + SHAPES, steps=80)
     model = docs.sparkSession.sparkContext.broadcast((w, bias, post))  # WORDS + SHAPES weights, 3 ** labellers posteriors
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
