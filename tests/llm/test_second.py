@@ -623,7 +623,7 @@ def test_scopes_free_what_is_no_longer_read(spark, odd):
 
 
 def test_text_ids_and_a_very_long_text(spark):
-    d = spark.createDataFrame([(f"id{i}", t) for i, t in enumerate(["a b c " * 30, None, "", "a b c " * 30, "w" + " x1 y2" * 300_000])], "doc_id string, text string")
+    d = spark.createDataFrame([(f"id{i}", t) for i, t in enumerate(["a b c " * 30, None, "", "a b c " * 30, "w" + " x1 y2" * 40_000])], "doc_id string, text string")
     ids = {f"id{i}" for i in range(5)}
     for made in (packing.pack(d), weaklabel.classify(d), hmm.score_documents(d), secrets.report(secrets.scan(d)), simhash.near_duplicates(d)):
         assert {r[0] for r in made.select("doc_id").collect()} == ids
