@@ -12,8 +12,9 @@ Sorting and extension read 16 bits of each word around a suffix. Words that diff
 is taken from them alone: its first and its last window of ``least`` words, which together cover it, have to be
 equal in hashes of whole words too, and a span whose end fails is cut back until they are.
 
-A run that is too long for one task (a passage that many texts share) is not sorted: its windows are dealt by
-their own hash and counted, which Spark combines before the shuffle.
+A run that is too long for one task (a passage that many texts share) is not sorted. Its suffixes are put together
+by context, the words that their windows span: a context that occurs twice is repeated as a whole. Only one suffix
+of each context deals its windows by their own hash, to be counted, which Spark combines before the shuffle.
 """
 
 from __future__ import annotations
@@ -160,6 +161,22 @@ def compare(g: np.ndarray, key: np.ndarray, pos: np.ndarray, left: np.ndarray, r
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _of_long_runs(rows: DataFrame, least: int) -> DataFrame:
+    """(key, s, e) of the repeated passages among contexts ``rows``: c (the context), key (the text), s (where its first
+    window starts), w (hashes of its windows), x (the spans it covers, where the text holds it more than once)."""
+    # stored, so that a context that many texts share can be split where they meet it again
+    contexts = cut(rows.groupBy("c").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("key", "s", F.col("x").isNotNull().alias("again"))).alias("r"), F.first("w").alias("w")), "long")
+    within = rows.where("x is not null").select("key", F.explode("x").alias("v")).select("key", "v.s", "v.e")
+    shared = rows.where("x is null").join(contexts.where("k > 1").select("c"), "c", "left_semi").select("key", "s", (F.col("s") + F.size("w") + F.lit(least - 1)).alias("e"))
+    # windows of a context that occurs once are looked up among those of all contexts; two contexts of a text can hold the same window, which counts once
+    alone = ((F.col("k") == 1) & ~F.col("r.again")).alias("alone")
+    windows = contexts.select(alone, "r.key", F.col("r.s").alias("s"), F.posexplode("w").alias("o", "h")).groupBy("h", "key", (F.col("s") + F.col("o")).alias("s")).agg(F.max("alone").alias("alone"))
+    windows = cut(windows, "windows")
+    twice = cut(windows.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "twice")
+    single = windows.where("alone").join(twice, "h", "left_semi").select("key", "s", (F.col("s") + least).alias("e"))
+    return within.union(shared).union(single)
+
+
 @scoped
 def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col: str = "text", long_run: int = 2_000) -> DataFrame:
     """(doc_id, n_words, n_repeated, spans): a row for each row of ``docs`` with words that lie in a passage of
@@ -195,9 +212,15 @@ def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col:
     # tasks drop copies of a text before they deal it
     around = src.groupBy("key").agg(F.first("text").alias("text")).join(kept, "key")
 
+    context_names = ["g", "key", "p", "l", "r", "own", "c", "before", "w", "x"]
+    context_types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))]
+
     def context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words on either side of each kept suffix, 16 bits a word, and the hashes of its windows; or, for a long
-        run, whole hashes of the windows alone."""
+        run, whole hashes of the windows alone: a row for each context of the text, with its first suffix, the number
+        of windows that start before that, and the spans that it covers where the text holds it more than once."""
+        import xxhash
+
         hasher = Hasher()
         for b in batches:
             for i in range(0, b.num_rows, 64):
@@ -207,17 +230,23 @@ def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col:
                     at = np.array([x["p"] for x in s], dtype=np.int64)
                     own32 = around_hashes(h, at, window, least)
                     w = np.concatenate([np.zeros(window, np.uint16), ((h >> np.uint64(40)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16), np.zeros(least, np.uint16)])
+                    whole = gram_hashes(h, least) if any(x["hot"] for x in s) else None
+                    alike: dict[tuple[int, bytes], list[tuple]] = {}
                     for k, x in enumerate(s):
                         p = x["p"] + window
                         if x["hot"]:
-                            own = np.arange(max(0, x["p"] - window + 1), min(x["p"], len(h) - least) + 1)
-                            out.append((x["g"], key, x["p"], None, None, None, gram_hashes(h[own[0] : own[-1] + least], least).view(np.int64).tolist() if len(own) else []))
+                            first, last = max(0, x["p"] - window + 1), min(x["p"], len(h) - least)
+                            alike.setdefault((x["p"] - first, whole[first : last + 1].tobytes()), []).append((x["p"], first, last + least, x["g"]))
                         else:
-                            out.append((x["g"], key, x["p"], w[p - window + 1 : p][::-1].astype(">u2").tobytes(), w[p : p + least].astype(">u2").tobytes(), own32[k].tobytes(), None))
-                cols = list(zip(*out)) or [()] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.binary()), pa.array(cols[6], pa.list_(pa.int64()))], ["g", "key", "p", "l", "r", "own", "w"])
-
-    ctx = cut(around.mapInArrow(context, "g bigint, key bigint, p int, l binary, r binary, own binary, w array<bigint>"), "contexts")
+                            out.append((x["g"], key, x["p"], w[p - window + 1 : p][::-1].astype(">u2").tobytes(), w[p : p + least].astype(">u2").tobytes(), own32[k].tobytes(), None, None, None, None))
+                    for (before, own), at_ in alike.items():
+                        p, first, _, g = min(at_)
+                        twice = [{"s": a, "e": e} for a, e in _runs(np.array([x[1] for x in at_]), np.array([x[2] for x in at_]))] if len(at_) > 1 else None
+                        out.append((g, key, p, None, None, None, xxhash.xxh64_intdigest(own, before) - (1 << 63), before, np.frombuffer(own, np.int64), twice))
+                cols = list(zip(*out)) or [()] * 10
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, context_types)], context_names)
+
+    ctx = cut(around.mapInArrow(context, "g bigint, key bigint, p int, l binary, r binary, own binary, c bigint, before int, w array<bigint>, x array<struct<s:int,e:int>>"), "contexts")
     in_order = ctx.where("l is not null").select("g", "key", "p", "l", "r", "own").repartition("g").sortWithinPartitions("g", "r", "key", "p")
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,10 +273,7 @@ def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col:
             yield made(pa.Table.from_batches(held))
 
     spans = in_order.mapInArrow(neighbours, "key bigint, s int, e int")
-    hot = ctx.where("w is not null").select("key", "p", F.posexplode("w").alias("o", "h"), F.size("w").alias("m"))
-    hot = cut(hot.select("h", "key", (F.greatest(F.col("p") - (window - 1), F.lit(0)) + F.col("o")).alias("s")).distinct(), "windows")
-    twice = cut(hot.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "twice")
-    spans = spans.union(hot.join(twice, "h", "left_semi").select("key", F.col("s").cast("int"), (F.col("s") + least).cast("int").alias("e")))
+    spans = spans.union(_of_long_runs(ctx.where("c is not null").select("c", "key", (F.col("p") - F.col("before")).alias("s"), "w", "x"), least))
     spans = spans.distinct().groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("x"))  # as long as a text
 
     joined = spans.join(texts.where("copies = 1").select("key", "n"), "key").select("key", "n", "x")

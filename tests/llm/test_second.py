@@ -568,6 +568,24 @@ def test_op10_exact(spark, passages, long_run):
     assert _got(spark.createDataFrame(passages, "doc_id bigint, text string"), long_run=long_run) == _covered(passages)
 
 
+def test_op10_long_runs_by_context(spark):
+    """Contexts that many texts share, that one text holds often, that end at a text's edge, and that differ by a word."""
+    rnd = random.Random(7)
+    phrase = [f"p{i}" for i in range(5)]
+    passage = [f"q{i}" for i in range(110)]
+    texts = [" ".join(phrase * rnd.randint(4, 40)) for _ in range(12)]
+    for i in range(60):
+        w = list(passage)
+        if i % 3 == 0:
+            w[rnd.randrange(len(w))] = f"e{rnd.randrange(4)}"
+        a, b = (rnd.randint(0, 30) if i % 2 else 0 for _ in range(2))
+        own = [f"o{i}_{k}" for k in range(rnd.randint(0, 40))]
+        texts.append(" ".join(own + w[a : len(w) - b] + (phrase * 12 if i % 5 == 0 else [])))
+    texts.append(" ".join([*passage, "m", *passage[:80], *phrase * 15, *passage[40:]]))
+    rows = list(enumerate(texts))
+    assert _got(spark.createDataFrame(rows, "doc_id bigint, text string"), long_run=1) == _covered(rows)
+
+
 def test_op10_documents(spark, sf, texts):
     got = {r["doc_id"]: [(x["s"], x["e"]) for x in r["spans"]] for r in queries.op10_sparse_suffixes(spark, sf).collect()}
     assert got == _covered(list(texts.items()))
