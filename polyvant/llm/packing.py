@@ -198,7 +198,8 @@ def place(found: DataFrame, capacity: int = 2048, groups: int = 512) -> DataFram
     shared = p.sparkSession.sparkContext.broadcast(cols)  # follows `capacity` and `groups`, not the data
     before = counts.select("_part", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))
     ranked = p.withColumn("_rank", F.row_number().over(Window.partitionBy("_part", "length").orderBy("doc_id", "piece", "start")) - 1)
-    ranked = ranked.join(before.hint("merge"), ["_part", "length"])  # grows with the partitions: not to be broadcast.withColumn("_rank", F.col("_rank") + F.coalesce("_before", F.lit(0)))
+    ranked = ranked.join(before.hint("merge"), ["_part", "length"])  # grows with the partitions: not to be broadcast
+    ranked = ranked.withColumn("_rank", F.col("_rank") + F.coalesce("_before", F.lit(0)))
     names = [c for c in p.columns if c != "_part"]
     out = ranked.select(*names, "_rank")
     spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in p.schema if f.name != "_part") + ", sequence_id bigint, offset bigint"

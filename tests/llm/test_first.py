@@ -107,6 +107,12 @@ def test_op1_odd(odd, no_docs):
     assert packing.pack(no_docs).count() == 0
 
 
+def test_op1_many_partitions(docs):
+    """Equal lengths in many partitions still get places of their own."""
+    rows = packing.pack(docs.repartition(7)).collect()
+    assert _packed(rows, 2048) <= -(-sum(r["length"] for r in rows) // 2048) * 1.01 + 1
+
+
 def test_op1_plans():
     rng = np.random.default_rng(1)
     for hist in ({1: 5}, {64: 3}, {33: 7}, {1: 100, 63: 3}, dict(Counter(rng.integers(1, 65, 500).tolist())), {k: 10_000 for k in range(1, 65)}):
