@@ -154,6 +154,7 @@ def links(fps: DataFrame, threshold: int = 2) -> DataFrame:
 
     left = fps.select("_fp").mapInArrow(filed, "anchor bigint, u bigint")
     right = fps.select("_fp").mapInArrow(replicated, "anchor bigint, v bigint")
+    right = right.hint("merge")  # some 61 rows for each that Spark's estimate counts: not to be broadcast
     return left.join(right, "anchor").where(F.col("u") != F.col("v")).where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= threshold).select("u", "v")
 
 

@@ -4,8 +4,9 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from polyvant.llm import similar, simhash
+from polyvant.llm import common, similar, simhash
 
 
 def _kept(texts, shingle=5, similarity=0.8):
@@ -92,3 +93,10 @@ def test_large_buckets_leave_no_link_out(spark):
         first |= {f: root for f in of if f not in first}
         want |= {root}
     assert len(want) > 280 and got == want
+
+
+def test_replicas_are_not_broadcast(spark):
+    """About 61 rows are made of each fingerprint, which the size of the stored table does not tell."""
+    fps = common.cut(spark.range(5000).select(F.xxhash64("id").alias("_fp")), "fps")
+    plan = simhash.links(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
