@@ -62,7 +62,8 @@ def candidates(sketches: DataFrame, small: int = 16) -> tuple[DataFrame, DataFra
     shared = cut(rows.join(size, "k"), "shared")
     popular = shared.groupBy("_h").agg(F.sum("n").alias("popular"))
     few = shared.where(F.col("n") <= small).select("k", "_h")
-    pairs = few.toDF("k", "u").join(few.toDF("k", "v"), "k").where("u < v").select("u", "v")
+    pairs = few.toDF("k", "u").join(few.toDF("k", "v").hint("merge"), "k")  # a text has a row for each band: not to be broadcast
+    pairs = pairs.where("u < v").select("u", "v")
     many = cut(shared.where(F.col("n") > small).select("k", "_h").join(popular, "_h"), "many")
     hub = cut(many.groupBy("k").agg(F.max(F.struct("popular", "_h")).alias("x")).select("k", F.col("x._h").alias("v")), "hubs")
     star = many.join(hub, "k").where(F.col("_h") != F.col("v")).select(F.least("_h", "v").alias("u"), F.greatest("_h", "v").alias("v"))
@@ -77,6 +78,18 @@ def divided(many: DataFrame, found: DataFrame) -> DataFrame:
     return cut(rooted.join(split, "k").select("_h", "root").distinct(), "apart")
 
 
+def _least(counts: DataFrame, ranked: int) -> int:
+    """The lowest count that at most ``ranked`` rows of ``counts`` (x, n) reach. A sort with a limit would gather so many
+    rows from each partition in one place."""
+    least, rows = 1 << 62, 0
+    for n, of in sorted(counts.groupBy("n").count().collect(), reverse=True):  # different counts: few
+        rows += of
+        if rows > ranked:
+            break
+        least = n
+    return least
+
+
 def crossing(apart: DataFrame, texts: DataFrame, similarity: float, hashes: Callable[[str], np.ndarray], ranked: int = 1 << 18) -> DataFrame:
     """(u, v): every pair of ``apart`` (_h, root) with different roots that can have the ``similarity``.
 
@@ -91,7 +104,8 @@ def crossing(apart: DataFrame, texts: DataFrame, similarity: float, hashes: Call
             x, n = np.unique(np.concatenate([np.unique(hashes(t.as_py())) for t in b.column("text")]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(n)], ["x", "n"])
 
-    often = src.select("text").mapInArrow(count, "x bigint, n bigint").groupBy("x").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "x").limit(ranked).toPandas()
+    counts = cut(src.select("text").mapInArrow(count, "x bigint, n bigint").groupBy("x").agg(F.sum("n").alias("n")).where("n > 1"), "counts")
+    often = counts.where(F.col("n") >= _least(counts, ranked)).toPandas()
     by = np.argsort(often["x"].to_numpy(np.int64))
     shared = src.sparkSession.sparkContext.broadcast((often["x"].to_numpy(np.int64)[by], often["n"].to_numpy(np.int64)[by]))  # at most `ranked`
 

@@ -100,3 +100,19 @@ def test_replicas_are_not_broadcast(spark):
     fps = common.cut(spark.range(5000).select(F.xxhash64("id").alias("_fp")), "fps")
     plan = simhash.links(fps)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_stage_sends_the_driver_no_more_than_it_ranks(spark):
+    """Buckets grow with the texts, and so do the shingles that two of them hold."""
+    bands = F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.xxhash64(F.floor(F.col("id") / 8), i))
+    pairs, _ = similar.candidates(common.cut(spark.range(2000).select(F.col("id").alias("_h"), bands.alias("bands")), "sketches"))
+    assert "SortMergeJoin" in pairs._jdf.queryExecution().executedPlan().toString() and pairs.count() == 2000 // 8 * 28
+    counts = spark.createDataFrame([(x, 2 + x // 10) for x in range(100)], "x bigint, n bigint")
+    assert [similar._least(counts, k) for k in (100, 99, 30, 29, 9)] == [2, 3, 9, 10, 1 << 62]
+    rnd = random.Random(5)
+    texts = [[str(rnd.randrange(60)) for _ in range(12)] for _ in range(60)]
+    texts += [[*t[:-1], "z"] for t in texts]
+    src = spark.createDataFrame([(i, i, " ".join(t)) for i, t in enumerate(texts)], "_h bigint, root bigint, text string")
+    got = [{tuple(r) for r in similar.crossing(src.drop("text"), src.drop("root"), 0.5, lambda t: simhash.shingle_hashes(t, 2), ranked=n).collect()} for n in (0, 20, 1 << 18)]
+    similar_enough = {(i, j) for j in range(120) for i in range(j) if similar.jaccard(" ".join(texts[i]), " ".join(texts[j]), 2) >= 0.5}
+    assert len(similar_enough) >= 60 and all(similar_enough <= g for g in got)
