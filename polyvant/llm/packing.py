@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -161,48 +162,48 @@ def plan(hist: dict[int, int], capacity: int, groups: int = 512, small: int | No
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
-    """The pieces of every row: id, piece, start, length, ids_crc32. A text's ids end with ``end_id``; a null
-    text is empty; only what is longer than ``capacity`` is cut."""
+    """The pieces of every row: id, piece, start, length, ids_crc32, and for ``place`` the number of the task and the
+    piece's rank among those of its length in that task. A text's ids end with ``end_id``; a null text is empty; only
+    what is longer than ``capacity`` is cut."""
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder, task, held = Encoder(vocabulary), TaskContext.get().partitionId(), [0] * (capacity + 1)
         for b in batches:
-            rows: list[tuple[int, int, int, int, int]] = []
+            rows: list[tuple[int, int, int, int, int, int]] = []
             for r, ids in enumerate(encoder.encode(b.column("text"))):
                 ids += end
                 n = len(ids) // 4
                 for k, start in enumerate(range(0, n, capacity)):
                     part = ids[4 * start : 4 * (start + capacity)]
-                    rows.append((r, k, start, len(part) // 4, zlib.crc32(part)))
-            cols = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                    length = len(part) // 4
+                    rows.append((r, k, start, length, zlib.crc32(part), held[length]))
+                    held[length] += 1
+            cols = list(zip(*rows)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[2:]), pa.array([task] * len(rows), pa.int32())], ["doc_id", "piece", "start", "length", "ids_crc32", "_rank", "_part"])
 
-    return src.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return src.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, _rank bigint, _part int")
 
 
 def place(found: DataFrame, capacity: int = 2048, groups: int = 512) -> DataFrame:
-    """``found`` (a stored table with a column length) with sequence_id and offset.
+    """``found``, as ``pieces`` gives it, with sequence_id and offset.
 
-    A piece's rank among those of its length is its rank within its partition plus what earlier partitions
-    hold, so no task takes all pieces of a frequent length."""
-    p = cut(found.withColumn("_part", F.spark_partition_id()), "pieces")
-    counts = p.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("n"))
-    counts = cut(counts, "lengths")
-    hist = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
+    A piece's rank among those of its length is its rank within its task plus what earlier tasks hold, so no task
+    takes all pieces of a frequent length. Tasks rank as they write: pieces are not sorted."""
+    p = cut(found, "pieces")
+    hist = {r["length"]: r["n"] for r in p.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     runs = plan(hist, capacity, groups)
     runs.sort()
     cols = [np.array(c, dtype=np.int64) for c in zip(*runs)] if runs else [np.zeros(0, dtype=np.int64)] * 7
     shared = p.sparkSession.sparkContext.broadcast(cols)  # follows `capacity` and `groups`, not the data
-    before = counts.select("_part", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))
-    ranked = p.withColumn("_rank", F.row_number().over(Window.partitionBy("_part", "length").orderBy("doc_id", "piece", "start")) - 1)
-    ranked = ranked.join(before.hint("merge"), ["_part", "length"])  # grows with the partitions: not to be broadcast
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.coalesce("_before", F.lit(0)))
-    names = [c for c in p.columns if c != "_part"]
-    out = ranked.select(*names, "_rank")
-    spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in p.schema if f.name != "_part") + ", sequence_id bigint, offset bigint"
+    counts = p.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("_part", "length", F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    ranked = p.join(before.hint("shuffle_hash"), ["_part", "length"])  # grows with the tasks: not to be broadcast
+    names = [c for c in p.columns if c not in ("_part", "_rank")]
+    out = ranked.select(*names, (F.col("_rank") + F.col("_before")).alias("_rank"))
+    spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in p.schema if f.name in names) + ", sequence_id bigint, offset bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length, first, _, seq, _, per, off = shared.value

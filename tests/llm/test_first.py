@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
-from polyvant.llm import packing, queries, rules, secrets, simhash
+from polyvant.llm import common, packing, queries, rules, secrets, simhash
 
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -113,6 +113,13 @@ def test_op1_many_partitions(docs):
     assert _packed(rows, 2048) <= -(-sum(r["length"] for r in rows) // 2048) * 1.01 + 1
 
 
+def test_op1_ranks_where_it_writes(docs):
+    """Tasks rank the pieces that they write: one stored table, and its rows are joined without a sort."""
+    made = packing.pack(docs.repartition(7))
+    assert len(set(common.reads(made))) == 1
+    assert "SortMergeJoin" not in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_op1_plans():
     rng = np.random.default_rng(1)
     for hist in ({1: 5}, {64: 3}, {33: 7}, {1: 100, 63: 3}, dict(Counter(rng.integers(1, 65, 500).tolist())), {k: 10_000 for k in range(1, 65)}):
