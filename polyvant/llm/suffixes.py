@@ -284,5 +284,6 @@ def repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col:
             got = [_runs(np.array([v["s"] for v in x]), np.array([v["e"] for v in x])) for x in b.column("x").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([[{"s": s, "e": e} for s, e in x] for x in got], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))], ["key", "spans"])
 
-    found = joined.mapInArrow(union, "key bigint, spans array<struct<s:int,e:int>>").union(whole)
+    # stored, so that all but the first table goes when this returns
+    found = cut(joined.mapInArrow(union, "key bigint, spans array<struct<s:int,e:int>>").union(whole), "spans")
     return seen.select("doc_id", "key", F.col("n").alias("n_words")).join(found, "key").select("doc_id", "n_words", F.aggregate("spans", F.lit(0), lambda a, x: a + x.e - x.s).alias("n_repeated"), "spans")

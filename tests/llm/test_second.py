@@ -591,6 +591,13 @@ def test_op10_documents(spark, sf, texts):
     assert got == _covered(list(texts.items()))
 
 
+def test_op10_reads_two_tables(odd):
+    """What the spans are made from is gone when the query returns."""
+    left = len(common._session.tables)
+    made = suffixes.repeats(odd)
+    assert len(set(common.reads(made))) == len(common._session.tables) - left == 2
+
+
 def test_op10_odd(odd, no_docs):
     got = suffixes.repeats(odd).collect()
     assert [(r["n_words"], r["n_repeated"]) for r in got] == [(3001, 3000)]
