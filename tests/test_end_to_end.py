@@ -269,3 +269,27 @@ def test_places_without_one_task(spark):
 def test_group_plan_is_one_shuffle(spark, sf):
     plan = checks.group(bridge.rows(spark, sf), ("task_id",))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(task_id") == 1 and "partial_sum" in plan and F is not None
+
+
+@pytest.mark.parametrize("codes,want", [(["FC001"], 1), (["X9"], 0), ([None], 0), (["FC001", "LD001", "X9", None], 2), ([""], 0)])
+def test_coverage_sends_no_row_for_each_episode(spark, codes, want):
+    """Whatever the ids, a task passes on 19 rows at most, also where episodes are too many to be broadcast."""
+    tasks, sc, group = 4, spark.sparkContext, f"coverage of {codes}"
+    pick = F.element_at(F.array(*(F.lit(c).cast("string") for c in codes)), (F.col("id") % len(codes) + 1).cast("int"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        sc.setJobGroup(group, group)
+        d = composition.coverage(spark.range(0, 20_000, 1, tasks).select(pick.alias("environment_id")))
+        assert [tuple(r) for r in d.collect()] == [(want, 19)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = {s for j in sc.statusTracker().getJobIdsForGroup(group) for s in sc.statusTracker().getJobInfo(j).stageIds}
+    sent = sum(sc._jsc.sc().statusStore().lastStageAttempt(s).shuffleWriteRecords() for s in stages)
+    assert stages and sent <= 19 * tasks + 8  # and a count of each of the 8 shuffle partitions
+
+
+def test_coverage_of_no_episodes(spark):
+    assert [tuple(r) for r in composition.coverage(spark.createDataFrame([], "environment_id string")).collect()] == [(0, 19)]
